@@ -13,47 +13,61 @@ from pyspark.sql import functions as F
 from tripweave.functions.scalars import WHITESPACE
 from tripweave.sources import contracts as C
 
-# key=value, where the value is quoted (and may hold spaces) or runs to the next space;
-# (?U) gives \w and \S their Unicode meaning
-PAIR = r'(?U)(\w+)=("[^"]*"|\S+)'
+PAIR = "(?U)" + C.LOG_PAIR  # (?U): word and space classes are Unicode ones
 
 
-def key_values(text: Column) -> Column:
-    """All pairs of a text as a map, quotes stripped; the last value of a repeated key wins."""
-    keys = F.regexp_extract_all(text, F.lit(PAIR), F.lit(1))
-    values = F.regexp_extract_all(text, F.lit(PAIR), F.lit(2))
-    backwards = F.reverse(keys)
+def _computed_once(value: Column, use) -> Column:
+    """`use(value)` where the value is evaluated once: the lambda refers to it, not to its expression."""
+    return F.transform(F.array(value), use)[0]
 
-    def last_value(key: Column) -> Column:
-        return F.btrim(F.get(values, F.size(keys) - F.array_position(backwards, key)), F.lit('"'))
 
-    names = F.array_distinct(keys)
-    return F.map_from_arrays(names, F.transform(names, last_value))
+def key_values(pairs: Column) -> Column:
+    """A list of `key=value` texts as a map, quotes stripped; the last value of a repeated key wins."""
+    values = F.transform(pairs, lambda pair: F.btrim(
+        F.substring(pair, F.locate("=", pair) + 1, F.length(pair)), F.lit('"')))
 
+    def as_map(keys: Column) -> Column:
+        names, backwards = F.array_distinct(keys), F.reverse(keys)
+        last_values = F.transform(names, lambda key: F.get(
+            values, F.size(keys) - F.array_position(backwards, key)))
+        return F.when(F.size(names) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(
+            F.map_from_arrays(names, last_values))
 
-def has_required(kind: Column, fields: Column) -> Column:
-    """Whether the fields hold every key the kind requires; false for an unknown kind."""
-    def complete(keys: list[str]) -> Column:
-        return reduce(lambda a, b: a & b, [F.map_contains_key(fields, key) for key in keys])
+    return _computed_once(F.transform(pairs, lambda pair: F.substring_index(pair, "=", 1)), as_map)
 
-    return reduce(lambda rule, item: rule.when(kind == item[0], complete(item[1])),
-                  C.LOG_KINDS.items(), F.when(F.lit(False), F.lit(False))).otherwise(F.lit(False))
+
+def lacks_required(kind: Column, pairs: Column) -> Column:
+    """Whether a key that the kind requires is missing from the pairs."""
+    def missing(key: str) -> Column:
+        return ~F.exists(pairs, lambda pair: pair.startswith(f"{key}="))
+
+    return reduce(lambda a, b: a | b, [(kind == name) & missing(key)
+                                       for name, keys in C.LOG_KINDS.items() for key in keys])
 
 
 def parse_lines(lines: DataFrame, station_pattern: str = C.LOG_STATION) -> DataFrame:
-    """One row per line: `value`, its parts, the field map and why it is rejected (NULL if valid)."""
-    part = F.split("value", " ", 4)
-    split = lines.select("value", F.get(part, F.lit(0)).alias("ts"), F.get(part, F.lit(1)).alias("station"),
-                         F.get(part, F.lit(2)).alias("kind"), F.get(part, F.lit(3)).alias("rest"))
-    fielded = split.withColumn("fields", key_values(F.col("rest")))
+    """One row per line: `value`, its parts, the field map and why it is rejected (NULL if valid).
+
+    The split and the pair search are unpacked by a generator, so that filters on their results
+    read them and do not run the regular expression again; the field map is built above it, only
+    for the rows and queries that use it.
+    """
+    def cut_up(part: Column) -> Column:
+        ts, station, kind, rest = (F.get(part, F.lit(i)) for i in range(4))
+        pairs = F.regexp_extract_all(rest, F.lit(PAIR), F.lit(0))
+        return F.struct(ts.alias("ts"), station.alias("station"), kind.alias("kind"), rest.alias("rest"),
+                        pairs.alias("pairs"))
+
+    parts = lines.select("value", F.inline(F.transform(F.array(F.split("value", " ", 4)), cut_up)))
     quotes = F.length("rest") - F.length(F.translate("rest", '"', ""))
     reason = (F.when(F.col("rest").isNull(), "fewer than four parts")
               .when(F.length("ts") != C.LOG_TIMESTAMP_LENGTH, "timestamp")
               .when(~F.col("station").rlike(station_pattern), "station")
               .when(~F.col("kind").isin(*C.LOG_KINDS), "kind")
-              .when(~has_required(F.col("kind"), F.col("fields")), "missing field")
+              .when(lacks_required(F.col("kind"), F.col("pairs")), "missing field")
               .when(quotes % 2 != 0, "unbalanced quotes"))
-    return fielded.withColumn("reason", reason)
+    return parts.select("value", "ts", "station", "kind", key_values(F.col("pairs")).alias("fields"),
+                        reason.alias("reason"))
 
 
 def valid_events(parsed: DataFrame) -> DataFrame:
@@ -108,4 +122,4 @@ def trip_lines(trips: DataFrame, badge: Column, battery: Column, error: Column,
     uncut = F.lit(None).cast("int")
     events = F.array(event("started_at", pickup, cut_pickup), event("ended_at", deposit, cut_deposit),
                      F.when(error.isNotNull(), event("started_at", failure, uncut)))
-    return trips.select(F.explode(F.array_compact(events)).alias("e")).select("e.at", "e.value")
+    return trips.select(F.explode(events).alias("e")).where("e IS NOT NULL").select("e.at", "e.value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions import logs
@@ -43,33 +43,48 @@ def vehicles_picked_up(events: DataFrame) -> DataFrame:
     return events.where(F.col("kind") == C.PICKUP).agg(F.count_distinct(logs.field("velo")).alias("vehicles"))
 
 
-def deposits_without_pickup(events: DataFrame) -> DataFrame:
-    """Per vehicle: deposits, and those with no pickup of the vehicle before them.
+def _moves(events: DataFrame) -> DataFrame:
+    """Pickups and deposits collapsed to one row per vehicle, second and kind.
 
-    A deposit has one exactly when the vehicle's first pickup is earlier, so a minimum per
-    vehicle (combined before the shuffle) replaces sorting all events of a vehicle in one task.
-    Deposits are counted per vehicle and time first, for the same reason.
+    What follows groups by vehicle and hour, so no group has more than 7,200 rows however many
+    events a vehicle has.
     """
     moves = events.where(F.col("kind").isin(C.PICKUP, C.DEPOSIT)).select(
         logs.field("velo").alias("vehicle_id"), "ts", "kind")
-    moments = moves.groupBy("vehicle_id", "ts").agg(
-        F.count_if(F.col("kind") == C.DEPOSIT).alias("deposits"),
-        F.max(F.when(F.col("kind") == C.PICKUP, F.col("ts"))).alias("pickup_at"))
-    # the times that can lack a pickup are those up to the first one: a second minimum finds it
-    first = moments.groupBy(F.col("vehicle_id").alias("first_vehicle")).agg(F.min("pickup_at").alias("first_pickup"))
-    return (moments.where("deposits > 0").join(first, F.col("vehicle_id") == F.col("first_vehicle"))
-            .groupBy("vehicle_id").agg(
-                F.sum("deposits").alias("deposits"),
-                F.sum(F.when(F.col("ts") > F.col("first_pickup"), 0).otherwise(F.col("deposits"))).alias("orphans")))
+    return moves.groupBy("vehicle_id", "ts", "kind").agg(F.count("*").alias("n")).withColumn(
+        "hour", F.substring("ts", 1, 13))
+
+
+def deposits_without_pickup(events: DataFrame) -> DataFrame:
+    """Per vehicle: deposits, and those with no pickup of the vehicle before them.
+
+    These are the deposits up to the vehicle's first pickup: all of the hours before the one
+    that holds it, and the early ones of that hour.
+    """
+    moves, is_pickup = _moves(events), F.col("kind") == C.PICKUP
+    in_hour = Window.partitionBy("vehicle_id", "hour")
+    first_here = F.min(F.when(is_pickup, F.col("ts"))).over(in_hour)
+    early = ~is_pickup & (first_here.isNull() | (F.col("ts") <= first_here))
+    hours = (moves.withColumn("early", F.when(early, F.col("n")).otherwise(0))
+             .groupBy("vehicle_id", "hour").agg(
+                 F.sum(F.when(is_pickup, 0).otherwise(F.col("n"))).alias("deposits"), F.sum("early").alias("early"),
+                 F.max(is_pickup).alias("has_pickup")))
+    first_hour = F.min(F.when(F.col("has_pickup"), F.col("hour"))).over(Window.partitionBy("vehicle_id"))
+    orphans = F.when(first_hour.isNull() | (F.col("hour") <= first_hour), F.col("early")).otherwise(0)
+    return (hours.withColumn("orphans", orphans).groupBy("vehicle_id")
+            .agg(F.sum("deposits").alias("deposits"), F.sum("orphans").alias("orphans"))
+            .where("deposits > 0"))
 
 
 def deposits_out_of_turn(events: DataFrame) -> DataFrame:
-    """The strict form: deposits whose vehicle's preceding event is not a pickup."""
-    moves = events.where(F.col("kind").isin(C.PICKUP, C.DEPOSIT)).select(
-        logs.field("velo").alias("vehicle_id"), "ts", "kind")
-    # at equal times a deposit counts before a pickup; the hour bounds what one task sorts
-    turns = previous_value(moves, "vehicle_id", [F.col("ts"), F.col("kind")], "kind",
-                           chunk=F.substring("ts", 1, 13))
-    late = (F.col("kind") == C.DEPOSIT) & ~F.col("previous").eqNullSafe(C.PICKUP)
-    return turns.groupBy("vehicle_id").agg(F.count_if(F.col("kind") == C.DEPOSIT).alias("deposits"),
-                                           F.count_if(late).alias("out_of_turn"))
+    """The strict form: deposits whose vehicle's preceding event is not a pickup.
+
+    At equal times a deposit counts before a pickup, and of several deposits at one time only
+    the first can follow a pickup.
+    """
+    turns = previous_value(_moves(events), "vehicle_id", [F.col("ts"), F.col("kind")], "kind", chunk=F.col("hour"))
+    repeated = F.col("n") - F.when(F.col("previous") == C.PICKUP, 1).otherwise(0)
+    is_deposit = F.col("kind") == C.DEPOSIT
+    return turns.groupBy("vehicle_id").agg(
+        F.sum(F.when(is_deposit, F.col("n")).otherwise(0)).alias("deposits"),
+        F.sum(F.when(is_deposit, repeated).otherwise(0)).alias("out_of_turn"))

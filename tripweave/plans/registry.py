@@ -105,13 +105,13 @@ events_log AS (
          CASE WHEN electric = 1 THEN 15 + m % 85 END AS battery
   FROM priced WHERE m NOT IN (7, 1007, 11, 1011)),
 log_all AS (
-  SELECT started_at AS moment, origin AS station, '{C.PICKUP}' AS kind, vehicle_id, battery, duration_min, m, cut,
+  SELECT started_at AS moment, origin AS station, '{C.PICKUP}' AS kind, vehicle_id, rider_type, battery, duration_min, m, cut,
          m IN (21, 521, 1021, 1521) AS is_cut FROM events_log
   UNION ALL
-  SELECT ended_at, destination, '{C.DEPOSIT}', vehicle_id, NULL, duration_min, m, cut,
+  SELECT ended_at, destination, '{C.DEPOSIT}', vehicle_id, rider_type, NULL, duration_min, m, cut,
          m IN (23, 523, 1023, 1523) FROM events_log
   UNION ALL
-  SELECT started_at, origin, '{C.ERROR}', vehicle_id, NULL, duration_min, m, cut, false
+  SELECT started_at, origin, '{C.ERROR}', vehicle_id, rider_type, NULL, duration_min, m, cut, false
   FROM events_log WHERE m % 100 IN (3, 36, 69)),
 log AS (SELECT * FROM log_all WHERE NOT is_cut),
 error_codes AS (

@@ -56,6 +56,7 @@ LOG_KINDS = {
 }
 PICKUP, DEPOSIT, ERROR = LOG_KINDS
 LOG_STATION = r"^S\d{3}$"
+LOG_PAIR = r'(\w+)=("[^"]*"|\S+)'  # key=value, the value quoted (it may hold spaces) or up to a space
 LOG_TIMESTAMP_LENGTH = 19
 LOG_ERRORS = [
     ("E12", "verrou bloqué"),

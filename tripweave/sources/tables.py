@@ -26,8 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def numbered(prefix: str, number: Column, digits: int) -> Column:
+    """`prefix` and the number with leading zeros; longer numbers keep all their digits."""
+    text = number.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(text) < digits, F.lpad(text, digits, "0")).otherwise(text))
+
+
 def dock_id(number: Column) -> Column:
-    return F.format_string("S%03d", number)
+    return numbered("S", number, 3)
 
 
 def dock_latitude(number: Column) -> Column:
@@ -52,7 +58,7 @@ def _trip_columns(lineitem: DataFrame) -> DataFrame:
         defect_key().alias("m"), "l_orderkey", "l_linenumber",
         F.concat_ws("-", F.concat(F.lit("T"), F.col("l_orderkey").cast("string")), "l_linenumber", "l_partkey",
                     "l_suppkey").alias("trip_id"),
-        F.format_string("V%04d", F.expr("l_orderkey div 10")).alias("vehicle_id"),
+        numbered("V", F.expr("l_orderkey div 10"), 4).alias("vehicle_id"),
         dock_id(here).alias("origin"),
         dock_id(there).alias("destination"),
         (F.col("l_shipdate") + F.make_dt_interval(mins=minute.cast("int"))).alias("started_at"),
