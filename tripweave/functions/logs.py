@@ -48,24 +48,22 @@ def lacks_required(kind: Column, pairs: Column) -> Column:
 def parse_lines(lines: DataFrame, station_pattern: str = C.LOG_STATION) -> DataFrame:
     """One row per line: `value`, its parts, the field map and why it is rejected (NULL if valid).
 
-    The split and the pair search are unpacked by a generator, so that filters on their results
-    read them and do not run the regular expression again; the field map is built above it, only
-    for the rows and queries that use it.
+    The pairs pass through a generator, so that filters on them read the result of the search and
+    do not run the regular expression again; the field map is built above it, only for the rows
+    and queries that use it.
     """
-    def cut_up(part: Column) -> Column:
-        ts, station, kind, rest = (F.get(part, F.lit(i)) for i in range(4))
-        pairs = F.regexp_extract_all(rest, F.lit(PAIR), F.lit(0))
-        return F.struct(ts.alias("ts"), station.alias("station"), kind.alias("kind"), rest.alias("rest"),
-                        pairs.alias("pairs"))
-
-    parts = lines.select("value", F.inline(F.transform(F.array(F.split("value", " ", 4)), cut_up)))
-    quotes = F.length("rest") - F.length(F.translate("rest", '"', ""))
+    part = F.split("value", " ", 4)
+    cut_up = lines.select("value", *[F.get(part, F.lit(i)).alias(name)
+                                     for i, name in enumerate(("ts", "station", "kind", "rest"))])
+    found = F.struct(F.regexp_extract_all("rest", F.lit(PAIR), F.lit(0)).alias("pairs"))
+    parts = cut_up.select("*", F.inline(F.array(found)))
+    quotes = F.length("rest") - F.length(F.replace("rest", F.lit('"'), F.lit("")))
     reason = (F.when(F.col("rest").isNull(), "fewer than four parts")
               .when(F.length("ts") != C.LOG_TIMESTAMP_LENGTH, "timestamp")
               .when(~F.col("station").rlike(station_pattern), "station")
               .when(~F.col("kind").isin(*C.LOG_KINDS), "kind")
               .when(lacks_required(F.col("kind"), F.col("pairs")), "missing field")
-              .when(quotes % 2 != 0, "unbalanced quotes"))
+              .when(F.col("rest").contains('"') & (quotes % 2 != 0), "unbalanced quotes"))
     return parts.select("value", "ts", "station", "kind", key_values(F.col("pairs")).alias("fields"),
                         reason.alias("reason"))
 

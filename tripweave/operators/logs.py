@@ -46,32 +46,32 @@ def vehicles_picked_up(events: DataFrame) -> DataFrame:
 def _moves(events: DataFrame) -> DataFrame:
     """Pickups and deposits collapsed to one row per vehicle, second and kind.
 
-    What follows groups by vehicle and hour, so no group has more than 7,200 rows however many
+    What follows groups by vehicle and day, so no group has more than 172,800 rows however many
     events a vehicle has.
     """
     moves = events.where(F.col("kind").isin(C.PICKUP, C.DEPOSIT)).select(
         logs.field("velo").alias("vehicle_id"), "ts", "kind")
     return moves.groupBy("vehicle_id", "ts", "kind").agg(F.count("*").alias("n")).withColumn(
-        "hour", F.substring("ts", 1, 13))
+        "day", F.substring("ts", 1, 10))
 
 
 def deposits_without_pickup(events: DataFrame) -> DataFrame:
     """Per vehicle: deposits, and those with no pickup of the vehicle before them.
 
-    These are the deposits up to the vehicle's first pickup: all of the hours before the one
-    that holds it, and the early ones of that hour.
+    These are the deposits up to the vehicle's first pickup: all of the days before the one
+    that holds it, and the early ones of that day.
     """
     moves, is_pickup = _moves(events), F.col("kind") == C.PICKUP
-    in_hour = Window.partitionBy("vehicle_id", "hour")
-    first_here = F.min(F.when(is_pickup, F.col("ts"))).over(in_hour)
+    in_day = Window.partitionBy("vehicle_id", "day")
+    first_here = F.min(F.when(is_pickup, F.col("ts"))).over(in_day)
     early = ~is_pickup & (first_here.isNull() | (F.col("ts") <= first_here))
-    hours = (moves.withColumn("early", F.when(early, F.col("n")).otherwise(0))
-             .groupBy("vehicle_id", "hour").agg(
+    days = (moves.withColumn("early", F.when(early, F.col("n")).otherwise(0))
+             .groupBy("vehicle_id", "day").agg(
                  F.sum(F.when(is_pickup, 0).otherwise(F.col("n"))).alias("deposits"), F.sum("early").alias("early"),
                  F.max(is_pickup).alias("has_pickup")))
-    first_hour = F.min(F.when(F.col("has_pickup"), F.col("hour"))).over(Window.partitionBy("vehicle_id"))
-    orphans = F.when(first_hour.isNull() | (F.col("hour") <= first_hour), F.col("early")).otherwise(0)
-    return (hours.withColumn("orphans", orphans).groupBy("vehicle_id")
+    first_day = F.min(F.when(F.col("has_pickup"), F.col("day"))).over(Window.partitionBy("vehicle_id"))
+    orphans = F.when(first_day.isNull() | (F.col("day") <= first_day), F.col("early")).otherwise(0)
+    return (days.withColumn("orphans", orphans).groupBy("vehicle_id")
             .agg(F.sum("deposits").alias("deposits"), F.sum("orphans").alias("orphans"))
             .where("deposits > 0"))
 
@@ -82,7 +82,7 @@ def deposits_out_of_turn(events: DataFrame) -> DataFrame:
     At equal times a deposit counts before a pickup, and of several deposits at one time only
     the first can follow a pickup.
     """
-    turns = previous_value(_moves(events), "vehicle_id", [F.col("ts"), F.col("kind")], "kind", chunk=F.col("hour"))
+    turns = previous_value(_moves(events), "vehicle_id", [F.col("ts"), F.col("kind")], "kind", chunk=F.col("day"))
     repeated = F.col("n") - F.when(F.col("previous") == C.PICKUP, 1).otherwise(0)
     is_deposit = F.col("kind") == C.DEPOSIT
     return turns.groupBy("vehicle_id").agg(

@@ -51,19 +51,19 @@ def previous_value(df: DataFrame, key: str, order: list[Column], value: str, chu
     """`lag(value)` per key in the given order, without holding a whole key in one task.
 
     `chunk` cuts each key's sequence into consecutive pieces and must not decrease along `order`.
-    Rows look back inside their piece; the first row of a piece takes the last value of the
-    previous piece, found on a summary with one row per key and piece.
+    A first window looks back inside the pieces. Only the first row of a piece is left without
+    its answer, which is the last row of the piece before: a second window runs over the first
+    and last rows of all pieces of a key, while the rows between stay grouped by piece.
     """
-    position = F.struct(*order)
-    pieces = df.withColumn("_chunk", chunk)
     inside = Window.partitionBy(key, "_chunk").orderBy(*order)
-    rows = pieces.withColumns({
+    rows = df.withColumn("_chunk", chunk).withColumns({
         "_lag": F.lag(value).over(inside),
         "_first": F.row_number().over(inside) == 1,
+        "_last": F.lead(F.lit(True), 1, False).over(inside) == F.lit(False),
     })
-    last = (pieces.groupBy(key, "_chunk").agg(F.max_by(value, position).alias("_last"))
-            .withColumn("_before", F.lag("_last").over(Window.partitionBy(key).orderBy("_chunk")))
-            .select(key, "_chunk", "_before"))
-    joined = rows.join(last, [key, "_chunk"], "left")
-    return (joined.withColumn(alias, F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")))
-            .drop("_chunk", "_lag", "_first", "_before"))
+    ends = F.col("_first") | F.col("_last")
+    across = Window.partitionBy(key, "_piece").orderBy(*order)
+    return (rows.withColumn("_piece", F.when(~ends, F.col("_chunk")))
+            .withColumn("_before", F.lag(value).over(across))
+            .withColumn(alias, F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")))
+            .drop("_chunk", "_lag", "_first", "_last", "_piece", "_before"))
