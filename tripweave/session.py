@@ -16,6 +16,11 @@ def build_session(app: str = "tripweave", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # checkpoints of finished loops are removed with the tables that used them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # streaming state on disk beside the executors, not on their heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app)
