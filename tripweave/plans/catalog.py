@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripweave.plans import flow, kiosk, network, registry, tabular  # noqa: F401
+from tripweave.plans import flow, kiosk, models, network, registry, tabular  # noqa: F401
 
 
 def entries() -> dict[str, registry.Entry]:
