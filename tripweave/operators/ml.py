@@ -63,6 +63,17 @@ def _pipeline(columns: list[str], kind: str, weight: str | None = None, threshol
 
 # --- fitting ---------------------------------------------------------------------------------
 
+def _fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit on a kept copy of the columns the stages read: they pass over the rows several times."""
+    read = ["district", "label", "hour", "weekday", "weekend", "electric", "duration_min", "distance_km", "fare_eur",
+            "weight"]
+    rows = train.select([c for c in read if c in train.columns]).persist()
+    try:
+        return pipeline.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def fit_numeric(train: DataFrame, columns: list[str]) -> PipelineModel:
     """A bare logistic regression on numeric columns."""
     return Pipeline(stages=[assembled(columns, "features"), LogisticRegression(labelCol="label")]).fit(train)
@@ -70,12 +81,12 @@ def fit_numeric(train: DataFrame, columns: list[str]) -> PipelineModel:
 
 def fit_pickup(train: DataFrame, kind: str = "lr", extra: list[str] | None = None, **settings) -> PipelineModel:
     """Rider type from what is known at pickup. `extra` adds columns, for instance a suspected leak."""
-    return _pipeline([*AT_PICKUP, *(extra or [])], kind, **settings).fit(train)
+    return _fit(_pipeline([*AT_PICKUP, *(extra or [])], kind, **settings), train)
 
 
 def fit_dropoff(train: DataFrame, kind: str = "lr", **settings) -> PipelineModel:
     """Rider type from what is known at the return of the vehicle."""
-    return _pipeline(AT_DROPOFF, kind, **settings).fit(train)
+    return _fit(_pipeline(AT_DROPOFF, kind, **settings), train)
 
 
 def with_class_weights(train: DataFrame, column: str = "weight") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripweave.session import cut_lineage
+
 BROADCAST_ROWS = 500_000  # a lookup side is broadcast only when it is known to have no more rows
 HOT_SHARES = 1_000        # a key is hot above 1/HOT_SHARES of the rows, so there are fewer hot keys than this
 
@@ -16,7 +18,7 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 def hot_keys(df: DataFrame, key: str, shares: int = HOT_SHARES) -> DataFrame:
     """Keys that hold more than 1/shares of the rows: fewer than `shares` rows by construction."""
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    sizes = cut_lineage(df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")))
     total = sizes.agg(F.sum("n")).first()[0] or 0
     return sizes.where(F.col("n") > total / shares).select(key)
 
@@ -46,6 +48,18 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner",
     return hot_part.unionByName(keyed).unionByName(unkeyed, allowMissingColumns=True)
 
 
+def salted_join(facts: DataFrame, dim: DataFrame, key: str, spread: str, salts: int = 16,
+                how: str = "inner") -> DataFrame:
+    """Join with every key split over `salts` shuffle partitions, for streams too.
+
+    Facts take a salt from the hash of `spread`, a column that varies within a key; each dimension
+    row is repeated once per salt, so every fact still meets its one row.
+    """
+    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+
+
 def previous_value(df: DataFrame, key: str, order: list[Column], value: str, chunk: Column,
                    alias: str = "previous") -> DataFrame:
     """`lag(value)` per key in the given order, without holding a whole key in one task.

@@ -8,7 +8,7 @@ from tripweave.functions import scalars
 from tripweave.operators import cleaning, relational as R
 from tripweave.operators.skew import previous_value
 from tripweave.plans.registry import haversine_sql, on_tables, query
-from tripweave.session import scratch_path, source_tag
+from tripweave.session import cut_lineage, scratch_path, source_tag
 from tripweave.sources import contracts as C
 from tripweave.sources import files, sinks, tables as T
 
@@ -629,7 +629,9 @@ def cached_reuse(spark, sf_dir):
     slots = T.clean_trips(spark, sf_dir).select("hour", "weekday").cache()
     parts = [R.count_by(slots.select(F.lit(name).alias("part"), F.col(name).alias("slot")), "part", "slot")
              for name in ("hour", "weekday")]
-    return parts[0].unionByName(parts[1])
+    result = cut_lineage(parts[0].unionByName(parts[1]))
+    slots.unpersist()
+    return result
 
 
 @query("previous_trip_of_vehicle", "E21 F3", on_tables(

@@ -16,25 +16,30 @@ def write_bounded(df: DataFrame, path: str, max_files: int = 4) -> None:
     df.coalesce(max_files).write.mode("overwrite").parquet(path)
 
 
-def write_clean(df: DataFrame, path: str, max_files: int = 4) -> None:
-    """Write the cleaned trips under the names of the external contract."""
+def write_clean(df: DataFrame, path: str, max_files: int | None = None) -> None:
+    """Write the cleaned trips under the names of the external contract.
+
+    Without a ceiling the files get the size adaptive execution aims at, whatever the volume.
+    """
     renamed = df.withColumnsRenamed(C.rename_map(C.TRIP_FIELDS + C.CALENDAR_FIELDS, to_external=True))
-    write_bounded(renamed, path, max_files)
+    if max_files:
+        write_bounded(renamed, path, max_files)
+    else:
+        renamed.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
 def month_of(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
-def write_by_month(df: DataFrame, path: str, ts: str = "started_at", rows_per_file: int = 5_000_000) -> None:
+def write_by_month(df: DataFrame, path: str, ts: str = "started_at") -> None:
     """One folder per month, so that a filter on `month` opens only the folders it names.
 
-    No shuffle: every task writes the months it holds, and a busy month is spread over the
-    tasks that hold it instead of passing through one.
+    The rows are rebalanced by month first: months get few files each, small months share a task,
+    and adaptive execution splits a busy month over several tasks and files.
     """
-    (df.withColumn("month", month_of(F.col(ts)))
-       .write.mode("overwrite").partitionBy("month")
-       .option("maxRecordsPerFile", rows_per_file).parquet(path))
+    (df.withColumn("month", month_of(F.col(ts))).hint("rebalance", "month")
+       .write.mode("overwrite").partitionBy("month").parquet(path))
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:

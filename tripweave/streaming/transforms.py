@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions import scalars
-from tripweave.operators.relational import with_district
+from tripweave.operators.skew import fits_broadcast, salted_join
 
 
 def electric_only(trips: DataFrame) -> DataFrame:
@@ -15,8 +15,17 @@ def electric_only(trips: DataFrame) -> DataFrame:
 
 
 def enrich(trips: DataFrame, stations: DataFrame) -> DataFrame:
-    """District of the origin (join with a static table) and the calendar columns of the start."""
-    return with_district(trips, stations, how="inner").withColumns(scalars.calendar("started_at"))
+    """District of the origin (join with a static table) and the calendar columns of the start.
+
+    A station table within the checked bound is broadcast. Adaptive execution does not split hot
+    keys in streams, so a larger one is joined with salts.
+    """
+    dim = stations.select(F.col("station_id").alias("origin"), "district")
+    if fits_broadcast(dim):
+        joined = trips.join(F.broadcast(dim), "origin")
+    else:
+        joined = salted_join(trips, dim, "origin", spread="trip_id")
+    return joined.withColumns(scalars.calendar("started_at"))
 
 
 def running_counts(trips: DataFrame, *keys: str) -> DataFrame:
