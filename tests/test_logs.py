@@ -61,6 +61,14 @@ def test_reject_counts(spark):
     assert tuple(counted) == (len(VALID) + len(INVALID), len(VALID), len(INVALID))
 
 
+def test_observed_rejects_do_not_depend_on_the_number_of_actions(spark):
+    events, observation = O.observed_events(L.parse_lines(lines(spark)))
+    assert events.count() == len(VALID)
+    assert observation.get == {"lines": len(VALID) + len(INVALID), "rejected": len(INVALID)}
+    events.count()
+    assert observation.get["rejected"] == len(INVALID)
+
+
 def test_loose_rule(spark):
     loose = L.loose_parts(lines(spark))
     assert rows(loose.where("NOT kept").select("value")) == [("",)]
@@ -109,7 +117,7 @@ PHRASES = ["le vélo part de la gare", "le vélo arrive à la gare", "la borne d
 
 def test_word_count(spark):
     table = spark.createDataFrame([(p,) for p in PHRASES], "text string")
-    counted = dict(rows(table.select(F.explode(scalars.words(F.col("text"))).alias("w")).groupBy("w").count()))
+    counted = dict(rows(scalars.words(table, "text").groupBy("word").count()))
     assert (sum(counted.values()), len(counted), counted["gare"], counted["la"]) == (20, 12, 3, 4)
     pairs = P.count_by_key(spark.sparkContext.parallelize(PHRASES).flatMap(str.split))
     assert dict(pairs.collect()) == counted

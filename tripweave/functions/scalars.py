@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.sources import contracts as C
@@ -56,9 +56,9 @@ def in_test_side(key: Column, parts: int = 5) -> Column:
     return F.pmod(F.hash(key), F.lit(parts)) == 0
 
 
-def words(text: Column) -> Column:
-    """Whitespace split without empty pieces."""
-    return F.filter(F.split(text, WHITESPACE), lambda piece: piece != "")
+def words(df: DataFrame, text: str) -> DataFrame:
+    """One row per whitespace-separated word of a text column."""
+    return df.select(F.explode(F.split(text, WHITESPACE)).alias("word")).where("word <> ''")
 
 
 def minutes_before(ts: Column, minutes: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions import logs
@@ -16,6 +16,13 @@ def reject_report(parsed: DataFrame) -> DataFrame:
                       F.count("reason").alias("rejected"))
 
 
+def observed_events(parsed: DataFrame) -> tuple[DataFrame, Observation]:
+    """Valid events, and a counter of lines and rejects that the first action on them fills."""
+    counter = Observation()
+    counted = parsed.observe(counter, F.count("*").alias("lines"), F.count("reason").alias("rejected"))
+    return logs.valid_events(counted), counter
+
+
 def errors_by_station(events: DataFrame) -> DataFrame:
     return events.where(F.col("kind") == C.ERROR).groupBy(F.col("station").alias("station_id")).agg(
         F.count("*").alias("errors"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave.session import cut_lineage
 
-BROADCAST_ROWS = 500_000  # a lookup side is broadcast only when it is known to have no more rows
+BROADCAST_ROWS = 200_000  # a lookup side is broadcast only when it is known to have no more rows
 HOT_SHARES = 1_000        # a key is hot above 1/HOT_SHARES of the rows, so there are fewer hot keys than this
 
 

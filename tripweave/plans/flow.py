@@ -10,7 +10,7 @@ from tripweave.operators.relational import count_by
 from tripweave.plans.registry import on_tables, query
 from tripweave.session import scratch_path
 from tripweave.sources import contracts as C
-from tripweave.sources import tables as T
+from tripweave.sources import files, tables as T
 from tripweave.streaming import progress, sinks, sources, transforms as S
 
 
@@ -43,7 +43,7 @@ FIVE = "to_timestamp(floor(epoch(ts) / 300) * 300)::TIMESTAMP"
 
 
 def waves(df, spark, folder, *conditions):
-    """Land the rows of each condition as a wave of files, running `step` in between."""
+    """Land the rows of each condition as a wave of files; the caller acts after each wave."""
     for i, condition in enumerate(conditions):
         sources.land_json(df.where(condition), f"{folder}/landing", f"wave{i}")
         yield i
@@ -108,22 +108,57 @@ def stream_sliding(spark, sf_dir):
     return S.window_bounds(versions(spark, live, "window"))
 
 
+def late_signups(spark, sf_dir):
+    """Five-minute counts where signups arrive in a second wave, after the watermark of the first is set.
+
+    Gives the folder of the result versions and the query of the second wave.
+    """
+    folder, run = run_folder(spark), None
+    table = T.table(spark, sf_dir, "events").select(
+        "event_id", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event_type")
+    for _ in waves(table, spark, folder, "event_type <> 'signup'", "event_type = 'signup'"):
+        stream = sources.json_stream(spark, f"{folder}/landing", "event_id BIGINT, ts STRING, event_type STRING",
+                                     max_files=None).withColumn("ts", F.to_timestamp("ts"))
+        counts = S.windowed(stream, "ts", "5 minutes", watermark="10 minutes")
+        run = progress.finish(sinks.to_versions(counts, f"{folder}/out", f"{folder}/checkpoint"))
+    return f"{folder}/out", run
+
+
+@query("stream_late_metric", "J10", f"""
+    WITH mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS late FROM events WHERE event_type <> 'signup')
+    SELECT count(DISTINCT {FIVE}) AS late_windows, strftime(any_value(date_trunc('millisecond', late)),
+    '%Y-%m-%dT%H:%M:%S') AS watermark FROM events, mark
+    WHERE event_type = 'signup' AND {FIVE} + INTERVAL 5 MINUTE <= date_trunc('millisecond', late)""")
+def stream_late_metric(spark, sf_dir):
+    # rows are merged by window before the late ones are dropped, so the metric counts windows
+    _, run = late_signups(spark, sf_dir)
+    marks = [p["eventTime"]["watermark"] for p in run.recentProgress if "watermark" in p["eventTime"]]
+    return files.local_table(spark, [(progress.dropped_rows(run), marks[0][:19])], "late_windows bigint, watermark string")
+
+
+@query("stream_two_at_once", "J14", on_tables(
+    "SELECT 'origin' AS part, origin AS id, count(*) AS n FROM clean GROUP BY 2 UNION ALL"
+    " SELECT 'rider_type', rider_type, count(*) FROM clean GROUP BY 2"))
+def stream_two_at_once(spark, sf_dir):
+    folder, parts = run_folder(spark), ("origin", "rider_type")
+    running = [sinks.to_versions(S.running_counts(trips(spark, sf_dir), part), f"{folder}/{part}",
+                                 f"{folder}/checkpoint-{part}", "complete", trigger={"processingTime": "0 seconds"})
+               for part in parts]
+    for run in running:
+        progress.drain(run)
+        run.stop()
+    results = [sinks.read_versions(spark, f"{folder}/{part}").select(
+        F.lit(part).alias("part"), F.col(part).alias("id"), "n") for part in parts]
+    return results[0].unionByName(results[1])
+
+
 @query("stream_late_rows", "J9 J7", f"""
     WITH mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS late FROM events WHERE event_type <> 'signup')
     SELECT {FIVE} AS window_start, count(*) AS n FROM events, mark
     WHERE event_type <> 'signup' OR {FIVE} + INTERVAL 5 MINUTE > date_trunc('millisecond', late) GROUP BY 1""")
 def stream_late_rows(spark, sf_dir):
-    # signups arrive in a second wave, after the watermark of the first has been set
-    folder = run_folder(spark)
-    table = T.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"),
-                                                    "event_type")
-    precise = table.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    for _ in waves(precise, spark, folder, "event_type <> 'signup'", "event_type = 'signup'"):
-        stream = sources.json_stream(spark, f"{folder}/landing", "event_id BIGINT, ts STRING, event_type STRING",
-                                     max_files=None).withColumn("ts", F.to_timestamp("ts"))
-        counts = S.windowed(stream, "ts", "5 minutes", watermark="10 minutes")
-        progress.finish(sinks.to_versions(counts, f"{folder}/out", f"{folder}/checkpoint"))
-    return S.window_bounds(sinks.read_versions(spark, f"{folder}/out", "window")).select("window_start", "n")
+    out, _ = late_signups(spark, sf_dir)
+    return S.window_bounds(sinks.read_versions(spark, out, "window")).select("window_start", "n")
 
 
 @query("stream_output_modes", "J11", """
@@ -185,6 +220,19 @@ def stream_district_windows(spark, sf_dir):
     return S.window_bounds(versions(spark, live, "window", "district")).drop("window_end")
 
 
+@query("stream_rule_share", "J17 J16", on_tables(
+    "SELECT date_trunc('day', ended_at) AS window_start, count(*) AS trips,"
+    " round(avg(CASE WHEN duration_min > 31 THEN 1.0::DOUBLE ELSE 0 END), 6) AS predicted_share,"
+    " round(avg(CASE WHEN rider_type = 'occasionnel' THEN 1.0::DOUBLE ELSE 0 END), 6) AS actual_share"
+    " FROM clean JOIN stations ON origin = station_id GROUP BY 1"))
+def stream_rule_share(spark, sf_dir):
+    # the windowed shares with a stated rule as the model; stream_scored has the trained one
+    scored = S.enrich(trips(spark, sf_dir), T.stations(spark, sf_dir)).withColumn(
+        "prediction", (F.col("duration_min") > 31).cast("double"))
+    shares = S.predicted_share(scored, width="1 day", digits=6)
+    return S.window_bounds(versions(spark, shares, "window")).drop("window_end")
+
+
 @query("replay_rebased", "N4 N5", on_tables(
     "SELECT trip_id, ended_at, ended_at - to_minutes(CAST(duration_min AS BIGINT)) AS started_at FROM"
     " (SELECT DISTINCT trip_id, duration_min, TIMESTAMP '2026-03-02 08:00:00' + (ended_at -"

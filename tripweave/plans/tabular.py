@@ -457,8 +457,7 @@ def sum_of_squares(spark, sf_dir):
       SELECT unnest(regexp_split_to_array(text, '[\s\x0B\x1C-\x1F\x{85}\pZ]+')) AS word FROM documents)
     WHERE word <> '' GROUP BY 1""")
 def word_count(spark, sf_dir):
-    docs = T.table(spark, sf_dir, "documents")
-    return R.count_by(docs.select(F.explode(scalars.words(F.col("text"))).alias("word")), "word")
+    return R.count_by(scalars.words(T.table(spark, sf_dir, "documents"), "text"), "word")
 
 
 @query("clean_balance", "E23", on_tables(
@@ -640,4 +639,4 @@ def cached_reuse(spark, sf_dir):
 def previous_trip_of_vehicle(spark, sf_dir):
     trips = T.clean_trips(spark, sf_dir).select("vehicle_id", "started_at", "trip_id", "destination")
     return previous_value(trips, "vehicle_id", [F.col("started_at"), F.col("trip_id")], "destination",
-                          chunk=F.date_trunc("month", "started_at")).select("trip_id", "previous")
+                          chunk=F.date_trunc("hour", "started_at")).select("trip_id", "previous")
