@@ -51,6 +51,14 @@ def test_weights_and_threshold_move_recall(trips):
     assert shares == pytest.approx({1.0: 0.7, 0.0: 0.3})
 
 
+def test_threshold_report_reads_one_model_as_refits_would(trips):
+    report = {r["threshold"]: r for r in M.threshold_report(M.fit_pickup(trips).transform(trips), [0.2, 0.5]).collect()}
+    for threshold, row in report.items():
+        refit = M.fit_pickup(trips, threshold=threshold).transform(trips)
+        assert row["recall"] == pytest.approx(M.by_label(refit, "recallByLabel"))
+        assert row["precision"] == pytest.approx(M.by_label(refit, "precisionByLabel"))
+
+
 def test_counts_and_evaluators_agree(spark):
     table = spark.createDataFrame([(1.0, 1.0)] * 3 + [(1.0, 0.0)] * 2 + [(0.0, 1.0)] + [(0.0, 0.0)] * 4,
                                   "label double, prediction double")

@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,7 +76,8 @@ def _fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 
 def fit_numeric(train: DataFrame, columns: list[str]) -> PipelineModel:
     """A bare logistic regression on numeric columns."""
-    return Pipeline(stages=[assembled(columns, "features"), LogisticRegression(labelCol="label")]).fit(train)
+    return Pipeline(stages=[assembled(columns, "features"), LogisticRegression(labelCol="label")]).fit(
+        train.select(*columns, "label"))
 
 
 def fit_pickup(train: DataFrame, kind: str = "lr", extra: list[str] | None = None, **settings) -> PipelineModel:
@@ -155,6 +157,24 @@ def precision_recall(predictions: DataFrame) -> DataFrame:
                            F.try_divide(F.sum(hit), F.sum(true)).alias("recall"))
 
 
+def threshold_report(predictions: DataFrame, thresholds: list[float]) -> DataFrame:
+    """Precision and recall of class 1 when it is predicted above each threshold.
+
+    A threshold does not change the fitted model, only the reading of its probabilities, so all of
+    them are judged on one model in one pass.
+    """
+    chance = vector_to_array("probability")[1]
+    true = F.col("label") == 1
+    counts = predictions.select(chance.alias("chance"), "label").agg(
+        F.count_if(true).alias("true"),
+        *[F.count_if(F.col("chance") > t).alias(f"said_{i}") for i, t in enumerate(thresholds)],
+        *[F.count_if((F.col("chance") > t) & true).alias(f"hit_{i}") for i, t in enumerate(thresholds)])
+    lines = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"said_{i}").alias("said"),
+                               F.col(f"hit_{i}").alias("hit")) for i, t in enumerate(thresholds)])
+    return counts.select("true", F.inline(lines)).select(
+        "threshold", F.try_divide("hit", "true").alias("recall"), F.try_divide("hit", "said").alias("precision"))
+
+
 def importances(model: PipelineModel, predictions: DataFrame, k: int = 5) -> list[tuple[str, float]]:
     """The k largest feature importances of a forest, named from the vector column's metadata."""
     forest = model.stages[-1]

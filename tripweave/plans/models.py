@@ -234,12 +234,7 @@ def ml_weighted(spark, sf_dir):
 
 @query("ml_threshold", "L16")
 def ml_threshold(spark, sf_dir):
-    train, test = split(spark, sf_dir)
-    rows = []
-    for threshold in (0.3, 0.367, 0.5):
-        predictions = M.fit_pickup(train, threshold=threshold).transform(test)
-        rows.append((threshold, M.by_label(predictions, "recallByLabel"), M.by_label(predictions, "precisionByLabel")))
-    return files.local_table(spark, rows, "threshold double, recall double, precision double")
+    return M.threshold_report(judged(spark, sf_dir, "lr_dropoff"), [0.3, 0.367, 0.5])
 
 
 @query("stream_scored", "J17 L18")

@@ -250,12 +250,12 @@ def one_way_edges(spark, sf_dir):
 
 @query("map_nodes", "M17", on_tables(
     f"SELECT id, longitude, latitude, district, CAST(dense_rank() OVER (ORDER BY district) - 1 AS INT) AS color,"
-    f" round(round(rank, 8) * 30000, 3) AS size, CASE WHEN row_number() OVER (ORDER BY round(rank, 8) DESC, id) <= 10"
+    f" round(round(rank, 8) * 30000, 4) AS size, CASE WHEN row_number() OVER (ORDER BY round(rank, 8) DESC, id) <= 10"
     f" THEN name END AS label FROM r_{TURNS} JOIN stations ON id = station_id", RANKS))
 def map_nodes(spark, sf_dir):
     dock = nodes(spark, sf_dir)
     ranks = G.pagerank(dock, links(spark, sf_dir), TURNS).select("id", F.round("rank", 8).alias("rank"))
-    return G.map_nodes(dock, ranks).withColumn("size", F.round("size", 3))
+    return G.map_nodes(dock, ranks).withColumn("size", F.round("size", 4))
 
 
 @query("map_edges", "M17", on_tables(
