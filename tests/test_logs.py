@@ -61,14 +61,6 @@ def test_reject_counts(spark):
     assert tuple(counted) == (len(VALID) + len(INVALID), len(VALID), len(INVALID))
 
 
-def test_observed_rejects_do_not_depend_on_the_number_of_actions(spark):
-    events, observation = O.observed_events(L.parse_lines(lines(spark)))
-    assert events.count() == len(VALID)
-    assert observation.get == {"lines": len(VALID) + len(INVALID), "rejected": len(INVALID)}
-    events.count()
-    assert observation.get["rejected"] == len(INVALID)
-
-
 def test_loose_rule(spark):
     loose = L.loose_parts(lines(spark))
     assert rows(loose.where("NOT kept").select("value")) == [("",)]

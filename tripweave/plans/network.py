@@ -114,7 +114,7 @@ def graph_degrees(spark, sf_dir):
 
 @query("graph_top_degree", "E10 G5 M3", on_tables(
     "SELECT max(n) AS top_degree, count(*) FILTER (n = top) AS reach_it FROM (SELECT n, max(n) OVER () AS top FROM"
-    " (SELECT dst, count(*) AS n FROM links GROUP BY 1))", LINKS))
+    " (SELECT station_id, count(dst) AS n FROM stations LEFT JOIN links ON dst = station_id GROUP BY 1))", LINKS))
 def graph_top_degree(spark, sf_dir):
     per_degree = G.degrees(nodes(spark, sf_dir).select("id"), links(spark, sf_dir)).groupBy("in_degree").agg(
         F.count("*").alias("n"))
