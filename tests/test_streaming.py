@@ -169,6 +169,18 @@ def test_landing_hides_unfinished_files(spark, tmp_path):
     assert all(p.name.startswith(("wave", ".wave")) for p in folder.iterdir())
 
 
+def test_table_stream_reads_a_folder_or_a_file(spark, tmp_path):
+    table = spark.range(20).withColumn("ts", F.lit("2026-03-02 08:00:00").cast("timestamp_ntz"))
+    table.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    table.write.parquet(str(tmp_path / "other"))
+    single = next((tmp_path / "other").glob("part-*"))
+    for path in (str(tmp_path / "events.parquet"), str(single)):
+        stream = sources.table_stream(spark, path)
+        assert dict(stream.dtypes)["ts"] == "timestamp"
+        assert in_memory(stream, "append").select("id").distinct().count() > 0
+    assert in_memory(sources.table_stream(spark, str(tmp_path / "events.parquet")), "append").count() == 20
+
+
 def test_enrich_with_a_large_station_table(spark, monkeypatch):
     trips = spark.createDataFrame([("T1", "S1", "2026-03-01 08:00:00"), ("T2", "S9", "2026-03-02 08:00:00")],
                                   "trip_id string, origin string, at string").withColumn(

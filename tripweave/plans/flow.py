@@ -24,7 +24,7 @@ def trips(spark, sf_dir):
 
 
 def events(spark, sf_dir):
-    return sources.table_stream(spark, sf_dir, "events.parquet")
+    return sources.table_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def versions(spark, df, *keys, mode="update"):

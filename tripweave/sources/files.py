@@ -74,10 +74,20 @@ def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     return spark.createDataFrame(rows, ddl)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of a path, for the few questions Spark has no reader for."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    fs, target = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, target = hadoop_path(spark, path)
+    return fs.getFileStatus(target).isDirectory()
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import scalars
 from tripweave.sources import contracts as C
+from tripweave.sources import files, sinks
 
 
 def json_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = 10) -> DataFrame:
@@ -23,13 +24,18 @@ def trip_stream(spark: SparkSession, path: str, max_files: int | None = 10) -> D
         C.rename_map(C.TRIP_FIELDS))
 
 
-def table_stream(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """One Parquet table of a folder as a stream, with the schema its file carries.
+def table_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table (a folder of files or one file) as a stream, with the schema its files carry.
 
     Timestamps without zone become timestamps, as event time needs them.
     """
-    schema = spark.read.parquet(f"{folder}/{file_name}").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
+    if files.is_folder(spark, path):
+        stream = reader.parquet(path)
+    else:  # a streaming source watches folders
+        folder, _, name = path.rpartition("/")
+        stream = reader.option("pathGlobFilter", name).parquet(folder)
     zoned = {f.name: F.col(f.name).cast("timestamp") for f in schema if f.dataType.typeName() == "timestamp_ntz"}
     return stream.withColumns(zoned) if zoned else stream
 
@@ -46,13 +52,13 @@ def land_json(batch: DataFrame, landing: str, name: str) -> None:
     """
     spark = batch.sparkSession
     hidden = f"{landing}/.landing-{name}"
-    batch.write.mode("overwrite").options(**C.TIMESTAMP_OPTIONS).json(hidden)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for i, status in enumerate(fs.globStatus(path(f"{hidden}/part-*"))):
-        if not fs.rename(status.getPath(), path(f"{landing}/{name}-{i:05d}.json")):
-            raise OSError(f"could not publish {status.getPath().toString()}")
-    fs.delete(path(hidden), True)
+    sinks.write_json(batch, hidden)
+    fs, folder = files.hadoop_path(spark, hidden)
+    for i, status in enumerate(fs.globStatus(files.hadoop_path(spark, f"{hidden}/part-*")[1])):
+        target = files.hadoop_path(spark, f"{landing}/{name}-{i:05d}.json")[1]
+        if not fs.rename(status.getPath(), target):
+            raise OSError(f"could not publish {target.toString()}")
+    fs.delete(folder, True)
 
 
 def rebase(trips: DataFrame, ended_at) -> DataFrame:
