@@ -94,3 +94,12 @@ def test_latest_version(spark):
 def test_partition_profile(spark):
     assert R.partition_profile(spark.range(80).repartition(8)).count() == 8
     assert R.partition_profile(spark.range(80).repartition(8).coalesce(1)).count() == 1
+
+
+def test_trips_are_not_shuffled_to_meet_the_stations(spark, sf_dir):
+    trips = T.clean_trips(spark, sf_dir)
+    for joined in (R.with_district(trips, T.stations(spark, sf_dir)),
+                   R.arrivals_with_station(trips, T.stations(spark, sf_dir)),
+                   R.with_weather(trips, T.weather(spark, sf_dir))):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(origin" not in plan

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripweave.sources import contracts as C
 
 # what a whitespace split treats as a separator: ASCII and Unicode spaces, control separators
-WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+WHITESPACE = r"(?U)[\s\x1C-\x1F]+"
 
 
 def calendar(ts: str | Column) -> dict[str, Column]:

@@ -7,25 +7,34 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import scalars
 from tripweave.operators.skew import lookup_join
+from tripweave.session import cut_lineage
 from tripweave.sources import contracts as C
 
 
 # --- joins -----------------------------------------------------------------------------------
 
 def with_district(trips: DataFrame, stations: DataFrame, how: str = "left", at: str = "origin") -> DataFrame:
-    """Add the district of the origin (or destination) dock; only two station columns travel."""
+    """Add the district of the origin (or destination) dock; only two station columns travel.
+
+    The size of the station table is checked and not estimated: an estimate that is too large
+    would shuffle all trips by dock before it is found out.
+    """
     dim = stations.select(F.col("station_id").alias(at), "district")
-    return trips.join(dim, at, how)
+    return lookup_join(trips, dim, at, how)
 
 
 def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
-    """Add the weather of the start day; days without a record give NULL."""
-    return trips.withColumn("date", F.to_date("started_at")).join(weather, "date", "left")
+    """Add the weather of the start day; days without a record give NULL.
+
+    The weather is written once, as it may itself be an aggregate: checking its size and joining
+    it would otherwise compute it twice.
+    """
+    return lookup_join(trips.withColumn("date", F.to_date("started_at")), cut_lineage(weather), "date", "left")
 
 
 def arrivals_with_station(trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Inner join on differently named keys: trips without a destination vanish."""
-    return trips.join(stations, F.col("destination") == F.col("station_id"))
+    return lookup_join(trips, stations.withColumn("destination", F.col("station_id")), "destination")
 
 
 def named_by_broadcast(counts: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:

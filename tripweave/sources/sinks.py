@@ -61,6 +61,11 @@ def write_single_text(report: DataFrame, path: str, separator: str = ";", max_ro
     report.select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_ordered_lines(lines: DataFrame, path: str, by: str) -> None:
+    """Write column `value` as text in the order of another column, over as many files as tasks."""
+    lines.sort(by).select("value").write.mode("overwrite").text(path)
+
+
 def storage_report(spark: SparkSession, **paths: str) -> DataFrame:
     """Files and megabytes per named path, from file metadata only (contents are not read)."""
     parts = [

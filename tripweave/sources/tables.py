@@ -151,7 +151,7 @@ def staged(spark: SparkSession, sf_dir: str, kind: str) -> str:
     elif kind == "clean_json":
         sinks.write_json(clean_trips(spark, sf_dir).select(TRIP_COLUMNS).withColumnsRenamed(external), path)
     elif kind == "log":
-        log_lines(spark, sf_dir).sort("at").select("value").write.mode("overwrite").text(path)
+        sinks.write_ordered_lines(log_lines(spark, sf_dir), path, by="at")
     elif kind == "months":
         sinks.write_by_month(clean_trips(spark, sf_dir), path)
     else:
