@@ -120,7 +120,7 @@ def rain_rate(spark: SparkSession, trips: DataFrame, weather: DataFrame) -> Data
     return spark.sql(
         f"""WITH by_day AS (
                SELECT to_date(started_at) AS date, count(*) AS trips FROM {{trips}} GROUP BY 1)
-            SELECT CASE WHEN rain_mm = 0 THEN '{dry}' WHEN rain_mm < 5 THEN '{light}'
+            SELECT CASE WHEN rain_mm = 0 THEN '{dry}' WHEN rain_mm < {C.LIGHT_RAIN_BELOW_MM} THEN '{light}'
                         ELSE '{heavy}' END AS weather,
                    count(date) AS days,
                    round(sum(trips) / count(date)) AS trips_per_day

@@ -18,6 +18,7 @@ def build_session(app: str = "tripweave", master: str | None = None, **conf: str
         "spark.ui.showConsoleProgress": "false",
         # checkpoints of finished loops are removed with the tables that used them
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
         # streaming state on disk beside the executors, not on their heap
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

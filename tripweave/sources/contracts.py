@@ -69,6 +69,7 @@ LOG_ERRORS = [
 DURATION_CLASSES = [(10, "court"), (30, "moyen")]
 LONG_CLASS = "long"
 RAIN_CLASSES = ["sec", "pluie faible", "pluie forte"]
+LIGHT_RAIN_BELOW_MM = 5
 
 # fare rule, in euros and minutes
 FREE_MINUTES = 30
