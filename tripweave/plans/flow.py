@@ -49,14 +49,22 @@ def waves(df, spark, folder, *conditions):
         yield i
 
 
-@query("stream_running_counts", "J3 B4 J1", on_tables("SELECT origin, count(*) AS n FROM clean GROUP BY 1"))
+@query("stream_running_counts", "J3 B4 J1", on_tables(
+    "SELECT hour, rider_type, count(*) AS n FROM clean GROUP BY 1, 2"))
 def stream_running_counts(spark, sf_dir):
-    # one row per dock: small enough for the memory sink
+    # 24 hours by two rider types, whatever the volume: within what the memory sink may hold
     name = f"running_{uuid.uuid4().hex[:12]}"
-    progress.finish(sinks.to_memory(S.running_counts(trips(spark, sf_dir), "origin"), name, mode="complete"))
+    by_hour = trips(spark, sf_dir).withColumn("hour", F.hour("started_at"))
+    progress.finish(sinks.to_memory(S.running_counts(by_hour, "hour", "rider_type"), name, mode="complete"))
     return spark.table(name)
 
 
+@query("stream_counts_by_dock", "J3 G3", on_tables("SELECT origin, count(*) AS n FROM clean GROUP BY 1"))
+def stream_counts_by_dock(spark, sf_dir):
+    # docks grow with the data, so their counts go to shared storage
+    return versions(spark, S.running_counts(trips(spark, sf_dir), "origin"), mode="complete")
+
+
 @query("stream_total_of_live_table", "E10 J3", on_tables("SELECT count(*) AS trips FROM clean"))
 def stream_total_of_live_table(spark, sf_dir):
     live = versions(spark, S.running_counts(trips(spark, sf_dir), "origin"), mode="complete")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tripweave.operators import graph as G
+from tripweave.operators.skew import lookup_join
 from tripweave.plans.registry import on_tables, query
 from tripweave.sources import tables as T
 
@@ -139,8 +140,9 @@ def graph_two_hop_counts(spark, sf_dir):
     every = G.cut_lineage(links(spark, sf_dir).select("src", "dst"))
     # what the second edges add is their number per middle node, so no walk is ever spelled out
     onward = every.alias("a2").groupBy(F.col("a2.src").alias("middle")).agg(F.count("*").alias("n"))
-    walks = every.alias("a1").join(onward, F.col("a1.dst") == F.col("middle"))
-    return walks.groupBy(F.col("a1.src").alias("start")).agg(F.sum("n").alias("walks"))
+    walks = lookup_join(every.alias("a1").select(F.col("a1.src").alias("start"), F.col("a1.dst").alias("middle")),
+                        onward, "middle")
+    return walks.groupBy("start").agg(F.sum("n").alias("walks"))
 
 
 @query("pagerank", "M6 M8 I11", on_tables(
