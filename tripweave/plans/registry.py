@@ -120,6 +120,42 @@ error_codes AS (
 """
 
 
+def key_hash_ctes(source: str, key: str, name: str) -> str:
+    """Subqueries that end in `name`: the rows of `source` with `key_hash`, Spark's hash of an ASCII text.
+
+    The published Murmur3 function for 32 bits with seed 42, on unsigned 64-bit integers: words of
+    four bytes, then the remaining bytes one by one, then the length and the final mixing.
+    """
+    def low(x: str) -> str:
+        return f"(({x}) % 4294967296::UBIGINT)"
+
+    def times(x: str, factor: int) -> str:
+        return low(f"({x}) * {factor}::UBIGINT")
+
+    def turned(x: str, bits: int) -> str:
+        return low(f"({x}) * {2 ** bits}::UBIGINT + ({x}) // {2 ** (32 - bits)}::UBIGINT")
+
+    def byte(position: str) -> str:
+        return f"unicode(substr({key}, CAST({position} AS INT), 1))::UBIGINT"
+
+    def folded(bits: int) -> str:
+        return f"xor(h, h // {2 ** bits}::UBIGINT)"
+
+    word = " + ".join(f"{byte(f'4 * i + {j + 1}')} * {256 ** j}::UBIGINT" for j in range(4))
+    words = f"list_transform(range(length({key}) // 4), lambda i: {word})"
+    rest = f"list_transform(range(length({key}) - length({key}) % 4, length({key})), lambda i: {byte('i + 1')})"
+    scrambled = f"list_transform(list_concat({words}, {rest}), lambda k: {times('k', 0xcc9e2d51)})"
+    mixed = f"list_transform({scrambled}, lambda k: {times(turned('k', 15), 0x1b873593)})"
+    step = low(f"{turned('xor(h, k)', 13)} * 5::UBIGINT + {0xe6546b64}::UBIGINT")
+    return (f"{name}_0 AS (SELECT *, xor(list_reduce({mixed}, lambda h, k: {step}, 42::UBIGINT),"
+            f" length({key})::UBIGINT) AS h FROM {source}),"
+            f" {name}_1 AS (SELECT * REPLACE ({times(folded(16), 0x85ebca6b)} AS h) FROM {name}_0),"
+            f" {name}_2 AS (SELECT * REPLACE ({times(folded(13), 0xc2b2ae35)} AS h) FROM {name}_1),"
+            f" {name}_3 AS (SELECT * REPLACE ({folded(16)}::BIGINT AS h) FROM {name}_2),"
+            f" {name} AS (SELECT * EXCLUDE (h), CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS key_hash"
+            f" FROM {name}_3)")
+
+
 def on_tables(select: str, ctes: str = "") -> str:
     """A SQL twin over the derived tables; `ctes` adds named subqueries before the final select."""
     recursive = "RECURSIVE " if "RECURSIVE" in ctes else ""

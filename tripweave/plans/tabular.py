@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tripweave.functions import scalars
 from tripweave.operators import cleaning, relational as R
 from tripweave.operators.skew import previous_value
-from tripweave.plans.registry import haversine_sql, on_tables, query
+from tripweave.plans.registry import haversine_sql, key_hash_ctes, on_tables, query
 from tripweave.session import cut_lineage, scratch_path, source_tag
 from tripweave.sources import contracts as C
 from tripweave.sources import files, sinks, tables as T
@@ -283,6 +283,28 @@ def random_sample_and_split(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+SIDES = key_hash_ctes("clean", "trip_id", "hashed") + (
+    ", sides AS (SELECT *, (key_hash % 5 + 5) % 5 = 0 AS in_test FROM hashed)")
+
+
+@query("hash_split_sides", "C16 I13", on_tables(
+    "SELECT in_test, rider_type, count(*) AS n, CAST(sum(key_hash) AS BIGINT) AS hashes FROM sides GROUP BY 1, 2", SIDES))
+def hash_split_sides(spark, sf_dir):
+    train, test = R.hash_split(T.clean_trips(spark, sf_dir).select("trip_id", "rider_type"), "trip_id")
+    sides = train.withColumn("in_test", F.lit(False)).unionByName(test.withColumn("in_test", F.lit(True)))
+    return sides.groupBy("in_test", "rider_type").agg(F.count("*").alias("n"),
+                                                      F.sum(F.hash("trip_id").cast("bigint")).alias("hashes"))
+
+
+@query("baseline_accuracy", "E13 C16", on_tables(
+    "SELECT round(avg(CASE WHEN rider_type = 'abonne' THEN 1.0::DOUBLE ELSE 0 END), 8) AS accuracy FROM sides"
+    " WHERE in_test", SIDES))
+def baseline_accuracy(spark, sf_dir):
+    test = R.hash_split(T.clean_trips(spark, sf_dir).select("trip_id", "rider_type"), "trip_id")[1]
+    return R.class_share(test, F.col("rider_type") == C.SUBSCRIBER, "accuracy").select(
+        F.round("accuracy", 8).alias("accuracy"))
+
+
 @query("hash_split_balance", "C16 I13", on_tables(
     "SELECT count(*) AS total, 0 AS in_both, true AS about_one_fifth FROM clean"))
 def hash_split_balance(spark, sf_dir):
