@@ -193,6 +193,19 @@ def test_enrich_with_a_large_station_table(spark, monkeypatch):
     assert rows(S.enrich(trips, stations).select(columns)) == expected
 
 
+def test_delays_are_drawn_by_key(spark):
+    trips = spark.range(5000).select(
+        F.concat(F.lit("T"), "id").alias("trip_id"), F.lit(10.0).alias("duration_min"),
+        F.to_timestamp(F.lit("2026-03-02 08:10:00")).alias("ended_at"),
+        F.to_timestamp(F.lit("2026-03-02 08:00:00")).alias("started_at"))
+    late = sources.delay_some(trips, "trip_id", share=0.3)
+    again = sources.delay_some(trips.repartition(5), "trip_id", share=0.3)
+    assert rows(late.select("trip_id", "late_by")) == rows(again.select("trip_id", "late_by"))
+    found = late.agg(F.avg((F.col("late_by") > 0).cast("int")), F.min(F.when(F.col("late_by") > 0, F.col("late_by"))),
+                     F.max("late_by"), F.max(F.abs(F.unix_seconds("ended_at") - F.unix_seconds("started_at") - 600))).first()
+    assert 0.25 < found[0] < 0.35 and found[1] >= 120 and found[2] <= 900 and found[3] == 0
+
+
 def test_rebase_keeps_the_duration(spark):
     trip = spark.createDataFrame([("T1", 7.5)], "trip_id string, duration_min double")
     moved = sources.rebase(trip, F.to_timestamp(F.lit("2026-03-02 08:00:00"))).first()

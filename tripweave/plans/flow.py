@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tripweave.operators.relational import count_by
-from tripweave.plans.registry import on_tables, query
+from tripweave.plans.registry import key_hash_ctes, on_tables, query
 from tripweave.session import scratch_path
 from tripweave.sources import contracts as C
 from tripweave.sources import files, tables as T
@@ -253,12 +253,27 @@ def replay_rebased(spark, sf_dir):
     return sources.rebase(kept, shifted).select("trip_id", "ended_at", "started_at").distinct()
 
 
+DRAWN = ("keyed AS (SELECT *, trip_id || '/late' AS late_key, trip_id || '/delay' AS delay_key FROM clean), "
+         + key_hash_ctes("keyed", "late_key", "late")
+         + ", first_draw AS (SELECT * RENAME (key_hash AS late_hash) FROM late), "
+         + key_hash_ctes("first_draw", "delay_key", "delay")
+         + ", drawn AS (SELECT *, CASE WHEN (late_hash % 10000 + 10000) % 10000 < 300"
+           " THEN (key_hash % 781 + 781) % 781 + 120 ELSE 0 END AS late_by FROM delay)")
+
+
+@query("replay_late_rows", "N5", on_tables(
+    "SELECT trip_id, started_at - to_seconds(late_by) AS started_at, ended_at - to_seconds(late_by) AS ended_at,"
+    " CAST(late_by AS INT) AS late_by FROM drawn", DRAWN))
+def replay_late_rows(spark, sf_dir):
+    late = sources.delay_some(T.clean_trips(spark, sf_dir), "trip_id")
+    return late.select("trip_id", "started_at", "ended_at", "late_by")
+
+
 @query("replay_late_share", "N5", on_tables(
-    "SELECT count(*) AS trips, true AS about_three_percent, true AS within_bounds, true AS same_duration FROM clean"))
+    "SELECT count(*) AS trips, count(*) FILTER (late_by > 0) AS late,"
+    " round(avg(CASE WHEN late_by > 0 THEN 1.0::DOUBLE ELSE 0 END), 8) AS share FROM drawn", DRAWN))
 def replay_late_share(spark, sf_dir):
-    late = sources.delay_some(T.clean_trips(spark, sf_dir), "trip_id")
-    seconds = F.unix_seconds(F.col("ended_at").cast("timestamp")) - F.unix_seconds(F.col("started_at").cast("timestamp"))
-    return late.agg(F.count("*").alias("trips"),
-                    F.avg((F.col("late_by") > 0).cast("double")).between(0.02, 0.04).alias("about_three_percent"),
-                    F.bool_and((F.col("late_by") == 0) | F.col("late_by").between(120, 900)).alias("within_bounds"),
-                    F.bool_and(seconds == F.col("duration_min") * 60).alias("same_duration"))
+    is_late = F.col("late_by") > 0
+    return sources.delay_some(T.clean_trips(spark, sf_dir), "trip_id").agg(
+        F.count("*").alias("trips"), F.count_if(is_late).alias("late"),
+        F.round(F.avg(is_late.cast("double")), 8).alias("share"))

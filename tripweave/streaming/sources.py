@@ -77,8 +77,11 @@ def delay_some(trips: DataFrame, key: str, share: float = 0.03, least: int = 120
 
     Adds `late_by` in seconds (0 for punctual rows); start and end keep their distance.
     """
-    drawn = F.pmod(F.xxhash64(F.col(key), F.lit("late")), F.lit(10_000)) < int(share * 10_000)
-    seconds = F.pmod(F.xxhash64(F.col(key), F.lit("delay")), F.lit(most - least + 1)) + least
+    def draw(purpose: str, outcomes: int):
+        return F.pmod(F.hash(F.concat(F.col(key), F.lit(purpose))), F.lit(outcomes))
+
+    drawn = draw("/late", 10_000) < int(share * 10_000)
+    seconds = draw("/delay", most - least + 1) + least
     late = trips.withColumn("late_by", F.when(drawn, seconds).otherwise(F.lit(0)).cast("int"))
     shift = F.make_dt_interval(secs=F.col("late_by").cast("decimal(18,6)"))
     return late.withColumns({name: F.col(name) - shift for name in ("started_at", "ended_at")})
