@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import quality
+from tripweave.llm import lines, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,7 +16,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": lambda spark, sf_dir: lines.report(documents(spark, sf_dir)),
     "op8_quality_rules": lambda spark, sf_dir: quality.report(documents(spark, sf_dir)),
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_line_dedup": lines.SQL,
+}
