@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import jaccard, lines, quality
+from tripweave.llm import decontaminate, jaccard, lines, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,10 +18,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": lambda spark, sf_dir: lines.report(documents(spark, sf_dir)),
     "op8_quality_rules": lambda spark, sf_dir: quality.report(documents(spark, sf_dir)),
+    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.report(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op10_ngram_jaccard_join": lambda spark, sf_dir: jaccard.report(documents(spark, sf_dir)),
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": lines.SQL,
+    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.report(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op10_ngram_jaccard_join": jaccard.SQL,
 }
