@@ -183,10 +183,9 @@ def _geometric(base: int, size: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Where each window of `width` values has its smallest one (the last of equal ones): distinct places, ascending."""
-    n = len(values) - width + 1
-    if n < 1:
+def minimum_places(values: np.ndarray, width: int) -> np.ndarray:
+    """For each window of `width` values, where its smallest one is (the last of equal ones)."""
+    if len(values) < width:
         return np.empty(0, dtype=np.int64)
     best, at, span = values, np.arange(len(values)), 1
     while span < width:
@@ -196,7 +195,7 @@ def minima(values: np.ndarray, width: int) -> np.ndarray:
         at = np.where(take, at[step:], at[: len(at) - step])
         best = np.where(take, right, left)
         span += step
-    return np.unique(at)
+    return at
 
 
 def signed(x: np.ndarray) -> np.ndarray:
