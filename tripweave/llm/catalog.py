@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import debruijn, decontaminate, jaccard, lines, quality
+from tripweave.llm import debruijn, decontaminate, jaccard, lattice, lines, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": lambda spark, sf_dir: lines.report(documents(spark, sf_dir)),
     "op2_substring_dedup": lambda spark, sf_dir: debruijn.report(documents(spark, sf_dir)),
+    "op3_sentencepiece": lambda spark, sf_dir: lattice.report(documents(spark, sf_dir)),
+    "op4_token_counts": lambda spark, sf_dir: token_counts.counts(documents(spark, sf_dir)),
     "op8_quality_rules": lambda spark, sf_dir: quality.report(documents(spark, sf_dir)),
     "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.report(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
