@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.operators.skew import fits_broadcast
 from tripweave.session import scratch_path
 
 NO_ID = (1 << 63) - 1
@@ -49,6 +50,12 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def only_in(docs: DataFrame, wanted: DataFrame, keys: list[str], max_rows: int = 200_000) -> DataFrame:
+    """`docs` joined to a narrow table of rows wanted. Within a checked number of rows the table goes to the
+    documents, so that no text moves; beyond it, both are shuffled."""
+    return docs.join(F.broadcast(wanted) if fits_broadcast(wanted, max_rows) else wanted, keys)
+
+
 def rejoin(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, list[str]]:
     """`docs` joined to `found` (id, th, more columns) by row identity, and the new names of those columns.
 
@@ -130,18 +137,20 @@ class Words:
     """Hashes of words; a bounded memory spares hashing frequent words again."""
 
     def __init__(self, limit: int = 200_000) -> None:
-        self._known: dict[bytes, int] = {}
-        self._limit = limit
+        self._known, self._limit = _Hashes(), limit
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
+        if len(self._known) > self._limit:
+            self._known.clear()
+        return np.fromiter(map(self._known.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        known, digest = self._known, xxhash.xxh3_64_intdigest
-        if len(known) > self._limit:
-            known.clear()
-        new = [w for w in words if w not in known]
-        known.update(zip(new, map(digest, new), strict=True))
-        return np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -35,6 +35,8 @@ SHINGLE = 5
 PERCENT = 75
 #: counters for frequent tokens: 2 rows of 2**BITS, so 1 MB reaches the driver and every task
 BITS = 16
+#: 64-bit numbers in the image of a set
+IMAGE = 32
 #: a bucket of a frequent token is split into parts of about so many groups
 PART = 4096
 _ROW = np.uint64(64 - BITS)
@@ -54,7 +56,8 @@ class Sets:
         hashes = self._words.hashes(words)
         if len(words) < SHINGLE:
             return self._runs.of(hashes, len(words)) ^ np.uint64(len(words))
-        return np.unique(self._runs.of(hashes, SHINGLE))
+        tokens = np.sort(self._runs.of(hashes, SHINGLE))
+        return tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
 
 
 def _counters(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,62 +104,59 @@ def _digest(*parts: np.ndarray) -> int:
 
 
 def _prefix(tokens: np.ndarray, above: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first tokens in the common order, and their weights."""
+    """The first tokens in the common order (weight, then hash), and their weights."""
     n = len(tokens)
     length = n - (PERCENT * n + 99) // 100 + 1
     weights = np.floor(np.log2(1 + _weights(tokens, above)) * 4)
-    order = np.lexsort((tokens, weights))[:length]
+    if not weights.any():
+        return tokens[:length], weights[:length]
+    order = np.argsort(weights, kind="stable")[:length]
     return tokens[order], weights[order]
 
 
-def signatures(docs: DataFrame, above) -> DataFrame:
-    """(id, th, n, cls, grp): set size, class (one per set), group (one per prefix and size) of every row."""
-    def rows(batch: dict[str, list]) -> Iterator[tuple]:
-        sets = Sets()
-        for key, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
-            tokens = sets.of(text)
-            if len(tokens):
-                grp = _digest(_prefix(tokens, above.value)[0], np.array([len(tokens)]))
-                yield key, th, len(tokens), _digest(tokens), grp
-            else:
-                yield key, th, 0, None, None
+def _bits(tokens: np.ndarray) -> np.ndarray:
+    """A small image of a set: each token flips one of `64 * IMAGE` bits.
 
-    return C.map_rows(C.keyed(docs), rows, "id bigint, th int, n bigint, cls bigint, grp bigint")
+    Two images differ in at most as many bits as the sets differ in tokens.
+    """
+    at = (mixed_again(tokens) % np.uint64(64 * IMAGE)).astype(np.int64)
+    flips = np.bincount(at, minlength=64 * IMAGE).astype(np.uint64) & np.uint64(1)
+    return (flips.reshape(IMAGE, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def prefix_tokens(docs: DataFrame, above) -> DataFrame:
-    """(token, part, grp, n, pos): the prefix of every group, once per task that meets the group.
+def mixed_again(tokens: np.ndarray) -> np.ndarray:
+    return C.mixed(tokens * _SECOND)
 
-    part: 0, or 1 and up for a frequent token, whose groups are spread over parts of a bounded size.
-    """
-    def run(batches):
-        import pyarrow as pa
 
-        sets, seen = Sets(), set()
-        for batch in C.small_batches(batches):
-            made: list[tuple[np.ndarray, ...]] = []
-            for text in batch.column("text").to_pylist():
-                tokens = sets.of(text)
-                if not len(tokens):
-                    continue
-                prefix, weights = _prefix(tokens, above.value)
-                grp = _digest(prefix, np.array([len(tokens)]))
-                if grp in seen:
-                    continue
+def signatures(docs: DataFrame, above) -> DataFrame:
+    """(id, th, n, cls, grp, bits, tokens, parts) of every row.
+
+    n: set size; cls: class (one per set); grp: group (one per prefix and size); bits: image of the set;
+    tokens: the prefix, for the first row of the group that a task meets; parts: 0, or 1 and up where a
+    token is frequent, and its groups are spread over parts of a bounded size.
+    """
+    def rows(batch: dict[str, list], seen: set[int] = set()) -> Iterator[tuple]:  # noqa: B006
+        # the default lives as long as the task
+        sets, sent = Sets(), above.value
+        for key, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
+            tokens = sets.of(text)
+            if not len(tokens):
+                yield key, th, 0, None, None, None, None, None
+                continue
+            prefix, weights = _prefix(tokens, sent)
+            grp = _digest(prefix, np.array([len(tokens)]))
+            first = parts = None
+            if grp not in seen:
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(grp)
-                parts = (np.exp2(weights / 4) / PART).astype(np.int64) + 1
-                part = np.where(parts > 1, 1 + np.int64(grp & 0x7FFFFFFF) % parts, 0).astype(np.int32)
-                made.append((C.signed(prefix), part,
-                             np.full(len(prefix), grp, dtype=np.int64),
-                             np.full(len(prefix), len(tokens), dtype=np.int32), np.arange(len(prefix), dtype=np.int32)))
-            if made:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*made, strict=True)],
-                                                 names=["token", "part", "grp", "n", "pos"])
+                spread = (np.exp2(weights / 4) / PART).astype(np.int64) + 1
+                first = C.signed(prefix)
+                parts = np.where(spread > 1, 1 + np.int64(grp & 0x7FFFFFFF) % spread, 0).astype(np.int32)
+            yield key, th, len(tokens), _digest(tokens), grp, C.signed(_bits(tokens)), first, parts
 
-    return docs.select(docs["text"].alias("text")).mapInArrow(
-        run, "token bigint, part int, grp bigint, n int, pos int")
+    return C.map_rows(C.keyed(docs), rows, "id bigint, th int, n int, cls bigint, grp bigint, bits array<bigint>, "
+                                           "tokens array<bigint>, parts array<int>")
 
 
 def _may_link(a: str, b: str):
@@ -167,6 +167,18 @@ def _may_link(a: str, b: str):
     return sizes & ((1 + F.least(na - pa - 1, nb - pb - 1)) * (100 + PERCENT) >= PERCENT * (na + nb))
 
 
+def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose images differ in no more bits than the sets of a link may differ in tokens."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    images = C.written(known.join(wanted, "cls").select("cls", "n", "bits").dropDuplicates(["cls"]), "jaccard-images")
+    both = pairs.join(images.toDF("a", "na", "bits_a"), "a").join(images.toDF("b", "nb", "bits_b"), "b")
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                         lambda s, x: s + x)
+    # a link of sizes na and nb has an overlap of PERCENT * (na + nb) / (100 + PERCENT) or more
+    most = (100 - PERCENT) * (F.col("na") + F.col("nb"))
+    return both.where(differ.cast("long") * (100 + PERCENT) <= most).select("a", "b")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that link."""
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
@@ -192,7 +204,9 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     groups = classes.groupBy("grp").agg(F.min("cls").alias("hub"), F.count("*").alias("classes"))
 
     # of each token, the group that has it earliest; tokens of one group only are of no use
-    tokens = prefix_tokens(docs, above).repartition("token", "part")
+    prefixes = known.where("tokens IS NOT NULL").select("grp", "n", F.posexplode(F.arrays_zip("tokens", "parts")).alias(
+        "pos", "t")).select(F.col("t.tokens").alias("token"), F.col("t.parts").alias("part"), "grp", "n", "pos")
+    tokens = prefixes.repartition("token", "part")
     buckets = tokens.groupBy("token", "part").agg(F.min(F.struct("pos", "grp", "n")).alias("hub"),
                                                   F.min("grp").alias("g0"), F.max("grp").alias("g1"))
     shared = C.written(tokens.join(buckets, ["token", "part"]).where("g0 <> g1 OR part > 0").select(
@@ -210,43 +224,61 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     between = group_pairs.join(hubs.toDF("a", "ha"), "a").join(hubs.toDF("b", "hb"), "b")
     within = classes.join(groups.where("classes > 1"), "grp").select(F.col("cls").alias("ha"), F.col("hub").alias("hb"))
     first = C.written(_pairs(between.select("ha", "hb").unionByName(within), "ha", "hb"), "jaccard-first")
+    near = C.written(_alike(first, known), "jaccard-near")
 
-    # the sets of all classes that may be verified at some time
-    touched = shared.select("grp").union(groups.where("classes > 1").select("grp")).distinct()
-    needed = classes.join(touched, "grp", "left_semi").select("first.id", "first.th", "cls")
-
-    def sets_of(batch: dict[str, list]) -> Iterator[tuple]:
-        sets = Sets()
-        for cls, text in zip(batch["cls"], batch["text"], strict=True):
-            tokens = sets.of(text)
-            if _digest(tokens) == cls:
-                yield cls, C.signed(tokens)
-
-    sets = C.written(C.map_rows(C.keyed(docs).join(needed, ["id", "th"]).select("cls", "text"), sets_of,
-                                "cls bigint, tokens array<bigint>").dropDuplicates(["cls"]), "jaccard-sets")
-    links = C.written(_verified(first, sets), "jaccard-links")
+    links = C.written(_verified(near, class_sets(docs, classes, near)), "jaccard-links")
 
     # buckets in which two components still meet are paired in full, but for pairs that were verified
-    nodes = sets.select(F.col("cls").alias("id"))
+    nodes = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     parts = weak_components(nodes, links.toDF("src", "dst")).select(F.col("id").alias("cls"), "component")
-    placed = shared.select("token", "grp", "n", "pos").join(classes.select("grp", "cls"), "grp").join(parts, "cls")
+    placed = shared.select("token", "grp", "n", "pos").distinct().join(
+        classes.select("grp", "cls"), "grp").join(parts, "cls", "left").withColumn(
+        "component", F.coalesce("component", "cls"))
     open_ = placed.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    rest = C.written(placed.join(open_.select("token"), "token", "left_semi"), "jaccard-open")
+    rest = C.written(placed.join(open_.select("token"), "token"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
-    crossing = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-                      & _may_link("x", "y")).select(F.col("x.cls").alias("u"), F.col("y.cls").alias("v"))
-    inner = classes.join(groups.where("classes > 2"), "grp").join(parts, "cls")
+    meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
+    sizes = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
+    # of two prefixes all shared tokens are seen here: what they share at most is their number and what
+    # follows the last of them
+    most = F.col("common") + F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
+    crossing = x.join(y, meets & sizes).groupBy(F.col("x.cls").alias("u"), F.col("y.cls").alias("v")).agg(
+        F.count("*").alias("common"), F.max("x.pos").alias("px"), F.max("y.pos").alias("py"),
+        F.max("x.n").alias("nx"), F.max("y.n").alias("ny")).where(
+        most * (100 + PERCENT) >= PERCENT * (F.col("nx") + F.col("ny"))).select("u", "v")
+    inner = classes.join(groups.where("classes > 2"), "grp").join(parts, "cls", "left").withColumn(
+        "component", F.coalesce("component", "cls"))
     split = inner.groupBy("grp").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
-    inner = inner.join(split.select("grp"), "grp", "left_semi").select("grp", "cls", "component")
+    inner = inner.join(split.select("grp"), "grp").select("grp", "cls", "component")
     p, q = inner.alias("p"), inner.alias("q")
     inside = p.join(q, (F.col("p.grp") == F.col("q.grp")) & (F.col("p.component") < F.col("q.component"))).select(
         F.col("p.cls").alias("u"), F.col("q.cls").alias("v"))
-    second = _pairs(crossing.unionByName(inside), "u", "v").join(first, ["a", "b"], "left_anti")
-    more = C.written(_verified(second, sets), "jaccard-more")
-    if more.take(1):
-        parts = weak_components(nodes, links.unionByName(more).toDF("src", "dst")).select(
-            F.col("id").alias("cls"), "component")
-    return known, parts
+    second = C.written(_pairs(crossing.unionByName(inside), "u", "v").join(first, ["a", "b"], "left_anti"),
+                       "jaccard-second")
+    second = C.written(_alike(second, known), "jaccard-near")
+    if not second.take(1):
+        return known, parts
+    more = C.written(_verified(second, class_sets(docs, classes, second)), "jaccard-more")
+    nodes = nodes.union(second.select(F.explode(F.array("a", "b")))).distinct()
+    return known, weak_components(nodes, links.unionByName(more).toDF("src", "dst")).select(
+        F.col("id").alias("cls"), "component")
+
+
+def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(cls, tokens): the sets of the classes in the pairs, from the first document of each."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    needed = classes.join(wanted, "cls").select("first.id", "first.th", "cls")
+
+    def rows(batch: dict[str, list]) -> Iterator[tuple]:
+        sets = Sets()
+        for cls, text in zip(batch["cls"], batch["text"], strict=True):
+            tokens = sets.of(text)
+            if _digest(tokens) == cls:
+                yield cls, C.signed(tokens)
+
+    texts = C.only_in(C.keyed(docs), C.written(needed, "jaccard-needed"), ["id", "th"]).select("cls", "text")
+    found = C.map_rows(texts, rows, "cls bigint, tokens array<bigint>")
+    return C.written(found, "jaccard-sets").dropDuplicates(["cls"])
 
 
 def components(docs: DataFrame) -> DataFrame:
@@ -255,7 +287,7 @@ def components(docs: DataFrame) -> DataFrame:
     root names the component, and is null for empty sets; component_id is the smallest id in it.
     """
     known, parts = class_components(docs)
-    known = known.distinct()
+    known = known.select("id", "th", "n", "cls").distinct()
     grouped = known.where("cls IS NOT NULL").join(parts, "cls", "left").withColumn(
         "root", F.coalesce("component", "cls"))
     smallest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -269,7 +301,7 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: the size of its set and the smallest id that links reach."""
     rows = C.keyed(docs).select("id", "th").groupBy("id", "th").agg(F.count("*").cast("int").alias("times"))
     found = components(docs).join(rows, ["id", "th"]).withColumn("_", F.explode(F.sequence(F.lit(1), "times")))
-    return found.select(C.true_id("id"), F.col("n").alias("n_shingles"), C.true_id("component_id").alias("component_id"))
+    return found.select(C.true_id("id"), F.col("n").cast("long").alias("n_shingles"), C.true_id("component_id").alias("component_id"))
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:

@@ -138,7 +138,10 @@ def judged(docs: DataFrame, refs: DataFrame | None = None, *, min_words: int = M
 
 def keep_good(docs: DataFrame, **thresholds: float) -> DataFrame:
     """The documents that pass, with their columns unchanged."""
-    return judged(docs, **thresholds).filter("kept").select("row.*")
+    # the partition number keeps the optimiser from moving the filter below the columns it is computed
+    # from, which would compute each of them many times over
+    here = judged(docs, **thresholds).select("row", "kept", F.spark_partition_id().alias("here"))
+    return here.where("kept AND here >= 0").select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
