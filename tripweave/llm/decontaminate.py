@@ -159,16 +159,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHAR
 def clean(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that hold no item, columns unchanged. Texts pass through Python, rows are not moved."""
     for items in blocks(benchmark, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
+        docs = docs.where(~_holds_item(docs.sparkSession.sparkContext.broadcast(items))(docs["text"]))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def holds_item(batches: Iterator[pd.Series], sent=sent) -> Iterator[pd.Series]:
-            block = Block(sent.value)
-            for texts in batches:
-                yield pd.Series([bool(block.found(t, first_only=True)) for t in texts], dtype=bool)
 
-        docs = docs.where(~holds_item(docs["text"]))
-    return docs
+def _holds_item(sent):
+    @F.pandas_udf("boolean")
+    def holds_item(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        block = Block(sent.value)
+        for texts in batches:
+            yield pd.Series([bool(block.found(t, first_only=True)) for t in texts], dtype=bool)
+
+    return holds_item
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
