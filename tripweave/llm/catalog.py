@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import debruijn, decontaminate, jaccard, lattice, licenses, lines, quality, suffixes, token_counts
+from tripweave.llm import debruijn, decontaminate, jaccard, lattice, licenses, lines, quality, secrets, suffixes, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
     "op4_token_counts": lambda spark, sf_dir: token_counts.counts(documents(spark, sf_dir)),
     "op5_suffix_array_dedup": lambda spark, sf_dir: suffixes.report(documents(spark, sf_dir)),
     "op6_license_scan": lambda spark, sf_dir: licenses.scan(documents(spark, sf_dir)),
+    "op7_secret_scan": lambda spark, sf_dir: secrets.scan(documents(spark, sf_dir)),
     "op8_quality_rules": lambda spark, sf_dir: quality.report(documents(spark, sf_dir)),
     "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.report(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
