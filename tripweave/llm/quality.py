@@ -148,3 +148,56 @@ def report(docs: DataFrame) -> DataFrame:
     """One row per document: the counts and the verdict."""
     return judged(docs).select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                "base_failed", "kept")
+
+
+def _sql() -> str:
+    """The same in DuckDB."""
+    common = ", ".join(f"'{w}'" for w in COMMON_WORDS)
+    rests = ", ".join(
+        f"regexp_replace({'r0' if k == 0 else f'r{k}'}, '{p.replace(chr(39), chr(39) * 2)}', '', 'g') AS r{k + 1}"
+        for k, p in enumerate(CLASSES.values()))
+    last = len(CLASSES)
+    bins = ", ".join(["length(solid) - length(r0)", *(f"length(r{k}) - length(r{k + 1})" for k in range(last)),
+                      f"length(r{last})"])
+    n = last + 2
+    return f"""
+WITH worded AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text,
+    [x FOR x IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents
+), solid AS (
+  SELECT *, array_to_string(w, '') AS solid, regexp_replace(array_to_string(w, ''), '[a-z]+', '', 'g') AS r0,
+    [x FOR x IN w IF x IN ({common})] AS f FROM worded
+), rest AS (SELECT *, {rests} FROM solid),
+hist AS (
+  SELECT *, [{bins}] || [len([x FOR x IN f IF x = c]) FOR c IN [{common}]] || [len(w) - len(f)] AS h FROM rest
+), bin AS (SELECT doc_id, lang, i, h[i] AS x FROM hist, range(1, {n + len(COMMON_WORDS) + 2}) t(i)),
+ref AS (SELECT lang, i, sum(x) AS y FROM bin GROUP BY ALL),
+both_ AS (
+  SELECT doc_id, bin.i <= {n} AS classes, x, y, sum(x) OVER d AS sx, sum(y) OVER d AS sy
+  FROM bin JOIN ref ON bin.lang IS NOT DISTINCT FROM ref.lang AND bin.i = ref.i
+  WINDOW d AS (PARTITION BY doc_id, bin.i <= {n})
+), share AS (SELECT doc_id, classes, x / sx AS p, y / sy AS q FROM both_ WHERE sx > 0 AND sy > 0),
+far AS (
+  SELECT doc_id, classes, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2)) AS d FROM share GROUP BY 1, 2
+), gram AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i + 4], ' ')) > 1 AS twice
+  FROM worded, range(1, len(w) - 3) t(i)
+), repeated AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM gram, range(0, 5) t(k) WHERE twice GROUP BY 1
+), counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(solid)::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len([l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\\x20\\x09-\\x0D]')])
+      - len(list_distinct([l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\\x20\\x09-\\x0D]')])))::BIGINT
+      AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM rest LEFT JOIN repeated USING (doc_id)
+), judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted)
+SELECT j.*, NOT base_failed AND NOT coalesce(n_words >= {MIN_WORDS} AND w.d > {MAX_WORD_DISTANCE}, false)
+  AND NOT coalesce(word_chars >= {MIN_CHARS} AND c.d > {MAX_CLASS_DISTANCE}, false) AS kept
+FROM judged j LEFT JOIN far c ON c.doc_id = j.doc_id AND c.classes LEFT JOIN far w ON w.doc_id = j.doc_id AND NOT w.classes
+"""
+
+
+SQL = _sql()
