@@ -54,30 +54,29 @@ RANKS = OUT_DEGREE + ", " + pagerank_sql(TURNS, False, "r")
 RANKS_SPREAD = OUT_DEGREE + ", " + pagerank_sql(TURNS, True, "p")
 
 
-def bfs_sql(start: str, hops: int) -> str:
-    """Nodes first met after each number of hops, with the alphabetically smallest path."""
-    levels = [f"b_0 AS MATERIALIZED (SELECT '{start}' AS id, ['{start}'] AS path)"]
-    for hop in range(1, hops + 1):
-        seen = " UNION ALL ".join(f"SELECT id FROM b_{i}" for i in range(hop))
-        levels.append(f"b_{hop} AS MATERIALIZED (SELECT dst AS id, min(list_append(path, dst)) AS path FROM b_{hop - 1}"
-                      f" JOIN links ON src = id WHERE dst NOT IN ({seen}) GROUP BY dst)")
-    union = " UNION ALL ".join(f"SELECT id, path, {i} AS hops FROM b_{i}" for i in range(hops + 1))
-    return f"{LINKS}, {', '.join(levels)}, bfs AS ({union})"
-
-
-def cheapest_sql(start: str, rounds: int) -> str:
-    """Repeated relaxation: after k rounds, the cheapest paths of at most k edges."""
-    steps = [f"k_0 AS MATERIALIZED (SELECT '{start}' AS id, 0.0::DOUBLE AS cost, ['{start}'] AS path)"]
-    for turn in range(1, rounds + 1):
-        steps.append(
-            f"k_{turn} AS MATERIALIZED (SELECT id, way.cost AS cost, way.path AS path FROM (SELECT id,"
-            f" min({{'cost': cost, 'path': path}}) AS way FROM (SELECT id, cost, path FROM k_{turn - 1} UNION ALL"
-            f" SELECT dst, cost + distance_km, list_append(path, dst) FROM k_{turn - 1} JOIN links ON src = id)"
-            f" GROUP BY id))")
-    return f"{LINKS}, {', '.join(steps)}"
+def hops_sql(start: str) -> str:
+    """Hops to every node in reach, the smallest node before it, and the paths these spell."""
+    return (f"{LINKS}, RECURSIVE hop(id, n) USING KEY (id) AS (SELECT '{start}', 0 UNION SELECT dst, min(h.n) + 1"
+            " FROM hop h JOIN links ON src = h.id LEFT JOIN recurring.hop r ON r.id = dst WHERE r.id IS NULL GROUP BY dst),"
+            " via AS (SELECT dst AS id, min(src) AS via FROM links JOIN hop a ON a.id = src JOIN hop b ON b.id = dst"
+            f" WHERE b.n = a.n + 1 GROUP BY dst), {_way_sql('hop')}")
+
+
+def _way_sql(nodes: str) -> str:
+    """way(id, path): the nodes before, followed back to the start."""
+    return (f"RECURSIVE back(id, at, path) AS (SELECT id, id, [id] FROM {nodes} UNION ALL"
+            " SELECT back.id, via, list_prepend(via, path) FROM back JOIN via ON via.id = at),"
+            " way AS (SELECT id, path FROM back WHERE at NOT IN (SELECT id FROM via))")
+
 
+def cheapest_sql(start: str) -> str:
+    """Relaxation until no cost falls, and the paths of the least costs."""
+    return (f"{LINKS}, RECURSIVE best(id, cost) USING KEY (id) AS (SELECT '{start}', 0.0::DOUBLE UNION"
+            " SELECT dst, min(b.cost + distance_km) FROM best b JOIN links ON src = b.id LEFT JOIN recurring.best r"
+            " ON r.id = dst GROUP BY dst, r.cost HAVING r.cost IS NULL OR min(b.cost + distance_km) < r.cost),"
+            " via AS (SELECT dst AS id, min(src) AS via FROM links JOIN best a ON a.id = src JOIN best b ON b.id = dst"
+            f" WHERE b.cost = a.cost + distance_km AND dst <> '{start}' GROUP BY dst), {_way_sql('best')}")
 
-CHEAP_ROUNDS = 25
 
 WEAK = (LINKS + ", RECURSIVE reach(a, b) AS (SELECT station_id, station_id FROM stations UNION"
         " SELECT a, next FROM reach JOIN (SELECT src AS here, dst AS next FROM links UNION SELECT dst, src FROM links)"
@@ -174,22 +173,24 @@ def pagerank_gap(spark, sf_dir):
 
 
 @query("bfs_path", "M10 D12 H1 I12", on_tables(
-    f"SELECT path, hops FROM bfs WHERE id = '{GOAL}'", bfs_sql(START, 10)))
+    f"SELECT path, CAST(len(path) - 1 AS INT) AS hops FROM way WHERE id = '{GOAL}'", hops_sql(START)))
 def bfs_path(spark, sf_dir):
     return G.shortest_path(links(spark, sf_dir), START, GOAL)
 
 
-@query("bfs_all_paths", "M10 M11 D6", on_tables("SELECT id, path, hops FROM bfs", bfs_sql(START, 10)))
+@query("bfs_all_paths", "M10 M11 D6", on_tables(
+    "SELECT id, path, n AS hops FROM way JOIN hop USING (id)", hops_sql(START)))
 def bfs_all_paths(spark, sf_dir):
     paths = G.bfs_paths(links(spark, sf_dir), START)
     return paths.withColumn("hops", F.size("path") - 1)
 
 
 @query("landmark_distances", "M12", on_tables(
-    "SELECT id, landmark, CAST(min(hops) AS INT) AS hops FROM back GROUP BY 1, 2",
-    LINKS + f", RECURSIVE back(id, landmark, hops) AS (SELECT * FROM (VALUES "
+    "SELECT id, landmark, hops FROM back",
+    LINKS + f", RECURSIVE back(id, landmark, hops) USING KEY (id, landmark) AS (SELECT * FROM (VALUES "
     + ", ".join(f"('{n}', '{n}', 0)" for n in LANDMARKS)
-    + ") UNION SELECT src, landmark, hops + 1 FROM back JOIN links ON dst = id WHERE hops < 10)"))
+    + ") UNION SELECT src, b.landmark, min(b.hops) + 1 FROM back b JOIN links ON dst = b.id LEFT JOIN recurring.back r"
+    " ON r.id = src AND r.landmark = b.landmark WHERE r.id IS NULL GROUP BY ALL)"))
 def landmark_distances(spark, sf_dir):
     return G.landmark_distances(links(spark, sf_dir), LANDMARKS)
 
@@ -224,16 +225,16 @@ def components_by_threshold(spark, sf_dir):
 
 
 @query("cheapest_path", "M15", on_tables(
-    f"SELECT path, round(cost, 2) AS km FROM k_{CHEAP_ROUNDS} WHERE id = '{GOAL}'", cheapest_sql(START, CHEAP_ROUNDS)))
+    f"SELECT path, round(cost, 2) AS km FROM way JOIN best USING (id) WHERE id = '{GOAL}'", cheapest_sql(START)))
 def cheapest_path(spark, sf_dir):
     ways = G.cheapest_paths(links(spark, sf_dir), START, "distance_km", goal=GOAL)
     return ways.where(F.col("id") == GOAL).select("path", F.round("cost", 2).alias("km"))
 
 
 @query("cheapest_costs", "M15", on_tables(
-    f"SELECT id, round(cost, 4) AS km FROM k_{CHEAP_ROUNDS}", cheapest_sql(START, CHEAP_ROUNDS)))
+    "SELECT id, round(cost, 4) AS km FROM best", cheapest_sql(START)))
 def cheapest_costs(spark, sf_dir):
-    ways = G.cheapest_paths(links(spark, sf_dir), START, "distance_km")
+    ways = G.cheapest_ways(links(spark, sf_dir), START, "distance_km")
     return ways.select("id", F.round("cost", 4).alias("km"))
 
 
