@@ -24,14 +24,14 @@ QUERIES: dict[str, Query] = {
     "op6_license_scan": lambda spark, sf_dir: licenses.scan(documents(spark, sf_dir)),
     "op7_secret_scan": lambda spark, sf_dir: secrets.scan(documents(spark, sf_dir)),
     "op8_quality_rules": lambda spark, sf_dir: quality.report(documents(spark, sf_dir)),
-    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.report(
+    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.matches(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op10_ngram_jaccard_join": lambda spark, sf_dir: jaccard.report(documents(spark, sf_dir)),
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": lines.SQL,
-    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.report(
+    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.matches(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op2_substring_dedup": debruijn.SQL,
     "op8_quality_rules": quality.SQL,

@@ -7,6 +7,7 @@ is null again in results.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -134,23 +135,48 @@ _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
 class Words:
-    """Hashes of words; a bounded memory spares hashing frequent words again."""
-
-    def __init__(self, limit: int = 200_000) -> None:
-        self._known, self._limit = _Hashes(), limit
-
-    def hashes(self, words: list[bytes]) -> np.ndarray:
-        if len(self._known) > self._limit:
-            self._known.clear()
-        return np.fromiter(map(self._known.__getitem__, words), dtype=np.uint64, count=len(words))
+    """Hashes of the words of a text, all at once from its bytes.
 
+    A word of bytes b0 .. bn has the hash sum(value[bi] * B**(n - i)) modulo 2**64 with fixed random
+    values of the bytes, mixed with its length.
+    """
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    _CHUNK = 1 << 20
 
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    def __init__(self) -> None:
+        self._powers = _Powers()
+        self._values = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)
+        self._space = np.zeros(256, dtype=bool)
+        self._space[[9, 10, 11, 12, 13, 32]] = True
+
+    def of(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, starts, ends): of every word, and the bytes it takes in `data`."""
+        parts, at = [], 0
+        while at < len(data):
+            end = at + self._CHUNK
+            if end < len(data):  # cut before a word that would be split
+                found = re.compile(rb"[\x20\x09-\x0D]").search(data, end)
+                end = found.start() if found else len(data)
+            parts.append(self._part(data[at:end], at))
+            at = end
+        if not parts:
+            return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return parts[0] if len(parts) == 1 else tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+    def _part(self, data: bytes, offset: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        code = np.frombuffer(data, dtype=np.uint8)
+        solid = np.zeros(len(code) + 2, dtype=bool)
+        np.logical_not(self._space[code], out=solid[1:-1])
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        powers, inverse = self._powers.upto(len(code) + 1)
+        sums = np.zeros(len(code) + 1, dtype=np.uint64)
+        np.cumsum(self._values[code] * inverse[: len(code)], out=sums[1:])
+        hashes = (sums[ends] - sums[starts]) * powers[starts]
+        return mixed(hashes + (ends - starts).astype(np.uint64) * _MIX), starts + offset, ends + offset
+
+    def hashes(self, data: bytes) -> np.ndarray:
+        return self.of(data)[0]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -160,6 +186,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class _Powers:
+    """Powers of the base and of its inverse modulo 2**64, as many as were needed so far."""
+
+    def __init__(self) -> None:
+        self._up = self._down = np.ones(1, dtype=np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self._up):
+            size = max(n, 2 * len(self._up), 1024)
+            self._up, self._down = _geometric(_BASE, size), _geometric(pow(_BASE, -1, 1 << 64), size)
+        return self._up, self._down
+
+
 class Runs:
     """Hashes of all runs of k consecutive words, in one pass over the words' hashes.
 
@@ -167,23 +206,16 @@ class Runs:
     """
 
     def __init__(self) -> None:
-        self._powers = np.ones(1, dtype=np.uint64)
-        self._inverse = np.ones(1, dtype=np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if n > len(self._powers):
-            size = max(n, 2 * len(self._powers), 1024)
-            self._powers = _geometric(_BASE, size)
-            self._inverse = _geometric(pow(_BASE, -1, 1 << 64), size)
+        self._powers = _Powers()
 
     def of(self, hashes: np.ndarray, k: int) -> np.ndarray:
         n = len(hashes) - k + 1
         if n < 1:
             return np.empty(0, dtype=np.uint64)
-        self._grow(len(hashes) + 1)
+        powers, inverse = self._powers.upto(len(hashes) + 1)
         sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-        np.cumsum(hashes * self._inverse[: len(hashes)], out=sums[1:])
-        return mixed((sums[k:] - sums[:-k]) * self._powers[:n])
+        np.cumsum(hashes * inverse[: len(hashes)], out=sums[1:])
+        return mixed((sums[k:] - sums[:-k]) * powers[:n])
 
 
 def _geometric(base: int, size: int) -> np.ndarray:

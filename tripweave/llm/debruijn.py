@@ -40,24 +40,22 @@ class Scanner:
         self.window, self.anchor = window, anchor
         self._words, self._runs = C.Words(), C.Runs()
 
-    def anchors(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes of the words, of the anchor runs, place of each window's anchor)."""
-        hashes = self._words.hashes(words)
-        runs = self._runs.of(hashes, self.anchor)
-        return hashes, runs, C.minimum_places(runs, self.window - self.anchor + 1)
+    def anchors(self, data: bytes) -> tuple[tuple, np.ndarray, np.ndarray]:
+        """((hashes, starts, ends) of the words, hashes of the anchor runs, place of each window's anchor)."""
+        words = self._words.of(data)
+        runs = self._runs.of(words[0], self.anchor)
+        return words, runs, C.minimum_places(runs, self.window - self.anchor + 1)
 
     def edges(self, words: list[bytes], nominated: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
         """(place, node from, node to, hash of the bytes) of each window whose anchor is nominated."""
         import xxhash
 
-        hashes, _, at = self.anchors(words)
+        joined = b" ".join(words)
+        (hashes, starts, ends), _, at = self.anchors(joined)
         places = np.flatnonzero(np.isin(at, np.asarray(nominated)))
         nodes = self._runs.of(hashes, self.window - 1)
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-        begins = ends - np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         view, digest = memoryview(joined), xxhash.xxh3_64_intdigest
-        checks = [digest(view[a:b]) for a, b in zip(begins[places].tolist(), ends[places + self.window - 1].tolist(),
+        checks = [digest(view[a:b]) for a, b in zip(starts[places].tolist(), ends[places + self.window - 1].tolist(),
                                                     strict=True)]
         return places, nodes[places], nodes[places + 1], checks
 
@@ -67,12 +65,10 @@ def sketches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
     def rows(batch: dict[str, list]) -> Iterator[tuple]:
         scanner = Scanner(window, anchor)
         for key, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
-            words = (text or "").encode().split()
-            if len(words) >= window:
-                _, runs, at = scanner.anchors(words)
+            (hashes, _, _), runs, at = scanner.anchors((text or "").encode())
+            if len(hashes) >= window:
                 at = np.unique(at)
-                digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                yield key, th, digest, C.signed(runs[at]), at
+                yield key, th, hashlib.blake2b(hashes, digest_size=16).digest(), C.signed(runs[at]), at
 
     return C.map_rows(C.keyed(docs), rows,
                       "id bigint, th int, digest binary, anchors array<bigint>, places array<int>")

@@ -171,7 +171,3 @@ def _holds_item(sent):
             yield pd.Series([bool(block.found(t, first_only=True)) for t in texts], dtype=bool)
 
     return holds_item
-
-
-def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    return matches(docs, benchmark)

@@ -33,10 +33,10 @@ from tripweave.operators.graph import weak_components
 
 SHINGLE = 5
 PERCENT = 75
-#: counters for frequent tokens: 2 rows of 2**BITS, so 1 MB reaches the driver and every task
-BITS = 16
-#: 64-bit numbers in the image of a set
-IMAGE = 32
+#: counters for frequent tokens: 2 rows of 2**BITS, so 4 MB reach the driver and every task
+BITS = 18
+#: the fewest bits in the image of a set
+IMAGE = 512
 #: a bucket of a frequent token is split into parts of about so many groups
 PART = 4096
 _ROW = np.uint64(64 - BITS)
@@ -50,12 +50,9 @@ class Sets:
         self._words, self._runs = C.Words(), C.Runs()
 
     def of(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        hashes = self._words.hashes(words)
-        if len(words) < SHINGLE:
-            return self._runs.of(hashes, len(words)) ^ np.uint64(len(words))
+        hashes = self._words.hashes((text or "").encode().lower())
+        if len(hashes) < SHINGLE:
+            return self._runs.of(hashes, len(hashes)) ^ np.uint64(len(hashes)) if len(hashes) else hashes
         tokens = np.sort(self._runs.of(hashes, SHINGLE))
         return tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
 
@@ -89,7 +86,7 @@ def frequent_counters(docs: DataFrame) -> np.ndarray:
     sums[table["at"].to_numpy(dtype=np.int64)] = table["n"].to_numpy(dtype=np.float64)
     base = np.repeat(np.median(sums.reshape(2, size), axis=1), size)
     above = sums - base
-    return np.where(above > 32 + 6 * np.sqrt(base), above, 0.0)
+    return np.where(above > 16 + 3 * np.sqrt(base), above, 0.0)
 
 
 def _weights(tokens: np.ndarray, above: np.ndarray) -> np.ndarray:
@@ -115,17 +112,14 @@ def _prefix(tokens: np.ndarray, above: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _bits(tokens: np.ndarray) -> np.ndarray:
-    """A small image of a set: each token flips one of `64 * IMAGE` bits.
+    """A small image of a set: each token flips one bit. Its size is the power of two from four bits a token on.
 
-    Two images differ in at most as many bits as the sets differ in tokens.
+    Two images of one size differ in at most as many bits as the sets differ in tokens, and so do images
+    folded to half their size.
     """
-    at = (mixed_again(tokens) % np.uint64(64 * IMAGE)).astype(np.int64)
-    flips = np.bincount(at, minlength=64 * IMAGE).astype(np.uint64) & np.uint64(1)
-    return (flips.reshape(IMAGE, 64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-
-
-def mixed_again(tokens: np.ndarray) -> np.ndarray:
-    return C.mixed(tokens * _SECOND)
+    size = max(IMAGE, 1 << (4 * len(tokens) - 1).bit_length())
+    at = (C.mixed(tokens * _SECOND) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=size) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
 
 
 def signatures(docs: DataFrame, above) -> DataFrame:
@@ -135,9 +129,9 @@ def signatures(docs: DataFrame, above) -> DataFrame:
     tokens: the prefix, for the first row of the group that a task meets; parts: 0, or 1 and up where a
     token is frequent, and its groups are spread over parts of a bounded size.
     """
-    def rows(batch: dict[str, list], seen: set[int] = set()) -> Iterator[tuple]:  # noqa: B006
-        # the default lives as long as the task
-        sets, sent = Sets(), above.value
+    def rows(batch: dict[str, list], seen: set[int] = set(), sets: Sets = Sets()) -> Iterator[tuple]:  # noqa: B006, B008
+        # the defaults live as long as the task
+        sent = above.value
         for key, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
             tokens = sets.of(text)
             if not len(tokens):
@@ -172,13 +166,24 @@ def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     images = C.written(known.join(wanted, "cls").select("cls", "n", "bits").dropDuplicates(["cls"]), "jaccard-images")
     both = pairs.join(images.toDF("a", "na", "bits_a"), "a").join(images.toDF("b", "nb", "bits_b"), "b")
-    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+    # sizes of sets that link are within 3 : 4, so the images have one size or one is twice the other
+    both = both.where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    both = both.select("a", "b", "na", "nb", _folded("bits_a", "bits_b").alias("ia"),
+                       _folded("bits_b", "bits_a").alias("ib"))
+    differ = F.aggregate(F.zip_with("ia", "ib", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
                          lambda s, x: s + x)
     # a link of sizes na and nb has an overlap of PERCENT * (na + nb) / (100 + PERCENT) or more
     most = (100 - PERCENT) * (F.col("na") + F.col("nb"))
     return both.where(differ.cast("long") * (100 + PERCENT) <= most).select("a", "b")
 
 
+def _folded(image: str, other: str):
+    """The image, folded to the size of the other one if that is smaller."""
+    half = F.size(other)
+    folded = F.zip_with(F.slice(image, F.lit(1), half), F.slice(image, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(image) > half, folded).otherwise(F.col(image))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that link."""
     left = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("ta"))
@@ -239,10 +244,13 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     x, y = rest.alias("x"), rest.alias("y")
     meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
     sizes = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
+    # before a shared token and after it, two sets share what the smaller side holds at most
+    around = F.least("x.pos", "y.pos") + 1 + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
+    fits = around * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))
     # of two prefixes all shared tokens are seen here: what they share at most is their number and what
     # follows the last of them
     most = F.col("common") + F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
-    crossing = x.join(y, meets & sizes).groupBy(F.col("x.cls").alias("u"), F.col("y.cls").alias("v")).agg(
+    crossing = x.join(y, meets & sizes & fits).groupBy(F.col("x.cls").alias("u"), F.col("y.cls").alias("v")).agg(
         F.count("*").alias("common"), F.max("x.pos").alias("px"), F.max("y.pos").alias("py"),
         F.max("x.n").alias("nx"), F.max("y.n").alias("ny")).where(
         most * (100 + PERCENT) >= PERCENT * (F.col("nx") + F.col("ny"))).select("u", "v")
@@ -269,8 +277,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     needed = classes.join(wanted, "cls").select("first.id", "first.th", "cls")
 
-    def rows(batch: dict[str, list]) -> Iterator[tuple]:
-        sets = Sets()
+    def rows(batch: dict[str, list], sets: Sets = Sets()) -> Iterator[tuple]:  # noqa: B008
         for cls, text in zip(batch["cls"], batch["text"], strict=True):
             tokens = sets.of(text)
             if _digest(tokens) == cls:
@@ -290,7 +297,8 @@ def components(docs: DataFrame) -> DataFrame:
     known = known.select("id", "th", "n", "cls").distinct()
     grouped = known.where("cls IS NOT NULL").join(parts, "cls", "left").withColumn(
         "root", F.coalesce("component", "cls"))
-    smallest = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
+    # as a table of its own, so that the join's partitions can be split where a component is large
+    smallest = C.written(grouped.groupBy("root").agg(F.min("id").alias("component_id")), "jaccard-components")
     linked = grouped.join(smallest, "root").select("id", "th", "n", "root", "component_id")
     alone = known.where("cls IS NULL").select("id", "th", "n", F.lit(None).cast("bigint").alias("root"),
                                               F.col("id").alias("component_id"))

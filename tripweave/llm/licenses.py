@@ -56,7 +56,7 @@ def rules() -> list[Rule]:
 
 def _literal(pattern: str) -> str:
     """The longest word that every match of a pattern holds: what stands outside groups and classes."""
-    plain = re.sub(r"\\\.", ".", pattern)
+    plain = re.sub(r"\\([.+])", r"\1", pattern)
     while (bare := re.sub(r"\((?:\?:)?[^()]*\)[?*+]?", " | ", plain)) != plain:
         plain = bare
     plain = re.sub(r"\[[^\]]*\]|\\S\+|.\?", "|", plain)

@@ -43,9 +43,9 @@ class Scanner:
         self.length, self.run = length, run
         self._words, self._runs = C.Words(), C.Runs()
 
-    def places(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def places(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hashes of the words, of the runs, the minimisers' places)."""
-        hashes = self._words.hashes(words)
+        hashes = self._words.hashes(data)
         runs = self._runs.of(hashes, self.run)
         return hashes, runs, np.unique(C.minimum_places(runs, self.length - self.run + 1))
 
@@ -55,11 +55,10 @@ def sketches(docs: DataFrame, length: int = LENGTH, run: int = RUN) -> DataFrame
     def rows(batch: dict[str, list]) -> Iterator[tuple]:
         scanner = Scanner(length, run)
         for key, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
-            words = (text or "").encode().split()
-            if len(words) >= length:
-                _, runs, at = scanner.places(words)
-                digest = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
-                yield key, th, len(words), digest, C.signed(np.unique(runs[at]))
+            hashes, runs, at = scanner.places((text or "").encode())
+            if len(hashes) >= length:
+                digest = hashlib.blake2b(hashes, digest_size=16).digest()
+                yield key, th, len(hashes), digest, C.signed(np.unique(runs[at]))
 
     return C.map_rows(C.keyed(docs), rows, "id bigint, th int, n_words int, digest binary, runs array<bigint>")
 
@@ -69,7 +68,7 @@ def suffixes(docs: DataFrame, shared: DataFrame, length: int = LENGTH, run: int
     def rows(batch: dict[str, list]) -> Iterator[tuple]:
         scanner = Scanner(length, run)
         for key, th, text, wanted in zip(batch["id"], batch["th"], batch["text"], batch["runs"], strict=True):
-            hashes, runs, at = scanner.places(text.encode().split())
+            hashes, runs, at = scanner.places(text.encode())
             short = (hashes >> np.uint64(32)).astype(">u4")
             wanted = np.array(wanted, dtype=np.int64).view(np.uint64)
             for p in at[np.isin(runs[at], wanted)].tolist():
