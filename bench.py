@@ -41,8 +41,10 @@ def best(run, times: int = 3) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    here = Path(__file__).resolve().parent
     spark = build_session("tripweave-bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
-                          spark__ui__enabled="false", spark__driver__memory="16g")
+                          spark__ui__enabled="false", spark__driver__memory="16g",
+                          spark__sql__warehouse__dir=str(here / "spark-warehouse"))
     spark.sparkContext.setLogLevel("ERROR")
     for kind in ("trips_csv", "clean", "clean_json", "log", "months"):
         T.staged(spark, sf_dir, kind)

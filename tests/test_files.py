@@ -4,7 +4,6 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from tripweave.operators import relational as R
 from tripweave.session import scratch_path, shared_dir
 from tripweave.sources import contracts as C
 from tripweave.sources import files, sinks, tables as T
@@ -84,9 +83,9 @@ def test_month_filter_prunes_folders(spark, sf_dir):
     assert "PartitionFilters: [isnotnull(month" in plan and "ReadSchema: struct<trip_id:string>" in plan
 
 
-def test_single_text_refuses_a_large_table(spark, tmp_path):
-    with pytest.raises(ValueError):
-        sinks.write_single_text(spark.range(11), str(tmp_path / "big"), max_rows=10)
+def test_single_text(spark, tmp_path):
+    sinks.write_single_text(spark.range(11), str(tmp_path / "big"), rows_per_file=10)
+    assert sum(len(p.read_text().split()) for p in (tmp_path / "big").glob("part-*")) == 11
     target = tmp_path / "small"
     for _ in range(2):  # the target is replaced
         sinks.write_single_text(spark.createDataFrame([("S001", "Gare", 3)], "id string, name string, n int"),
@@ -118,9 +117,3 @@ def test_shared_dir_is_the_configured_one(spark):
 def test_range_smoke(spark):
     assert spark.range(1_000_000).agg(F.sum("id")).first()[0] == 499_999_500_000
     assert spark.range(1, 101).agg(F.sum(F.col("id") * F.col("id"))).first()[0] == 338_350
-
-
-def test_bounded_collect(spark):
-    assert len(R.bounded_collect(spark.range(5), 5)) == 5
-    with pytest.raises(ValueError):
-        R.bounded_collect(spark.range(6), 5)

@@ -49,11 +49,13 @@ def test_fields(spark):
 
 
 def test_pair_collection_parser_agrees(spark):
-    station = re.compile(C.LOG_STATION)
     native = {(r["ts"], r["station"], r["kind"]): r["fields"]
               for r in L.valid_events(L.parse_lines(lines(spark))).collect()}
-    own = [P.parse_event(line, station) for line in [*VALID, *INVALID]]
-    assert {e[:3]: e[3] for e in own if e} == native
+    rules = P.LogRules(C.LOG_STATION)
+    own = {line: rules.examine(line) for line in [*VALID, *INVALID]}
+    assert {e[:3]: e[3] for _, e in own.values() if e} == native
+    reasons = {r["value"]: r["reason"] for r in L.parse_lines(lines(spark)).collect()}
+    assert {line: reason for line, (reason, _) in own.items()} == reasons
 
 
 def test_reject_counts(spark):

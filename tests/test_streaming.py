@@ -91,14 +91,16 @@ def test_new_file_without_restart(trips, landing, spark):
 def test_late_rows(spark, trips, landing, tmp_path, delay, mark, dropped, at_0805):
     out = str(tmp_path / "out")
     counts = S.windowed(trips, "fin", "5 minutes", watermark=delay)
-    query = sinks.to_versions(counts, out, str(tmp_path / "checkpoint"), trigger={"processingTime": "0 seconds"})
-    progress.drain(query)
-    land(landing, "late", LATE)
-    progress.drain(query)
-    query.stop()
+    with progress.reports(spark) as seen:
+        query = sinks.to_versions(counts, out, str(tmp_path / "checkpoint"), trigger={"processingTime": "0 seconds"})
+        progress.drain(query)
+        land(landing, "late", LATE)
+        progress.drain(query)
+        query.stop()
+        reports = seen.of(query)
     windows = {r[0]: r[2] for r in rows(S.window_labels(sinks.read_versions(spark, out, "window")))}
     assert progress.current_watermark(query) == f"2026-03-02T{mark}:00.000Z"
-    assert progress.dropped_rows(query) == dropped
+    assert sum(r.dropped for r in reports) == dropped
     assert (windows["08:05"], windows["08:10"]) == (at_0805, 3)
 
 
@@ -123,17 +125,31 @@ def test_output_modes(spark, trips, tmp_path):
 
 def test_resume_reads_each_file_once(spark, landing, tmp_path):
     seen = []
-    for name, items in ((None, []), ("file3", THIRD), ("file4", LATE)):
-        if name:
-            land(landing, name, items)
-        stream = sources.json_stream(spark, str(landing), SCHEMA, max_files=None)
-        query = progress.finish(sinks.to_parquet(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")))
-        seen.append((progress.first_batch(query), progress.last_batch(query)))
+    with progress.reports(spark) as listener:
+        for name, items in ((None, []), ("file3", THIRD), ("file4", LATE)):
+            if name:
+                land(landing, name, items)
+            stream = sources.json_stream(spark, str(landing), SCHEMA, max_files=None)
+            reports = listener.of(progress.finish(
+                sinks.to_parquet(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))))
+            seen.append((reports[0].batch, reports[-1].batch))
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.count() == written.select("trajet_id").distinct().count() == 15
     assert all(after[0] == before[1] + 1 for before, after in zip(seen, seen[1:]))
 
 
+def test_reports_of_more_batches_than_a_query_keeps(spark, tmp_path):
+    for k in range(105):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{k:03d}.json").write_text(f'{{"n": {k}}}\n')
+    stream = sources.json_stream(spark, str(tmp_path / "in"), "n INT", max_files=1)
+    with progress.reports(spark) as seen:
+        query = progress.finish(sinks.to_parquet(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint")))
+        reports = seen.of(query)
+    assert [r.batch for r in reports] == list(range(105)) and sum(r.rows for r in reports) == 105
+    assert len(query.recentProgress) < 105
+
+
 def test_csv_batches_replace_themselves(spark, trips, tmp_path):
     out = tmp_path / "out"
     for run in range(2):  # a second run from an empty checkpoint repeats the batches

@@ -15,6 +15,10 @@ from tripweave.sources import contracts as C
 
 PAIR = "(?U)" + C.LOG_PAIR  # (?U): word and space classes are Unicode ones
 
+# Why a line is no event, in the order in which the rules are tried; both parsers name the first that fails.
+FEW_PARTS, TIMESTAMP, STATION, KIND, FIELDS, QUOTES = REASONS = (
+    "fewer than four parts", "timestamp", "station", "kind", "missing field", "unbalanced quotes")
+
 
 def _computed_once(value: Column, use) -> Column:
     """`use(value)` where the value is evaluated once: the lambda refers to it, not to its expression."""
@@ -58,12 +62,15 @@ def parse_lines(lines: DataFrame, station_pattern: str = C.LOG_STATION) -> DataF
     found = F.struct(F.regexp_extract_all("rest", F.lit(PAIR), F.lit(0)).alias("pairs"))
     parts = cut_up.select("*", F.inline(F.array(found)))
     quotes = F.length("rest") - F.length(F.replace("rest", F.lit('"'), F.lit("")))
-    reason = (F.when(F.col("rest").isNull(), "fewer than four parts")
-              .when(F.length("ts") != C.LOG_TIMESTAMP_LENGTH, "timestamp")
-              .when(~F.col("station").rlike(station_pattern), "station")
-              .when(~F.col("kind").isin(*C.LOG_KINDS), "kind")
-              .when(lacks_required(F.col("kind"), F.col("pairs")), "missing field")
-              .when(F.col("rest").contains('"') & (quotes % 2 != 0), "unbalanced quotes"))
+    fails = {
+        FEW_PARTS: F.col("rest").isNull(),
+        TIMESTAMP: F.length("ts") != C.LOG_TIMESTAMP_LENGTH,
+        STATION: ~F.col("station").rlike(station_pattern),
+        KIND: ~F.col("kind").isin(*C.LOG_KINDS),
+        FIELDS: lacks_required(F.col("kind"), F.col("pairs")),
+        QUOTES: F.col("rest").contains('"') & (quotes % 2 != 0),
+    }
+    reason = F.coalesce(*(F.when(fails[name], name) for name in REASONS))
     return parts.select("value", "ts", "station", "kind", key_values(F.col("pairs")).alias("fields"),
                         reason.alias("reason"))
 

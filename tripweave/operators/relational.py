@@ -34,7 +34,8 @@ def with_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
 
 def arrivals_with_station(trips: DataFrame, stations: DataFrame) -> DataFrame:
     """Inner join on differently named keys: trips without a destination vanish."""
-    return lookup_join(trips, stations.withColumn("destination", F.col("station_id")), "destination")
+    dim = stations.select("station_id", F.col("station_id").alias("destination"), "name", "district")
+    return lookup_join(trips, dim, "destination")
 
 
 def named_by_broadcast(counts: DataFrame, stations: DataFrame, key: str = "station_id") -> DataFrame:
@@ -180,13 +181,3 @@ def row_sample(df: DataFrame, fraction: float = 0.2, seed: int = 42) -> DataFram
 def partition_profile(df: DataFrame) -> DataFrame:
     """Rows per physical partition (empty partitions do not show)."""
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("rows"))
-
-
-def bounded_collect(df: DataFrame, max_rows: int = 100_000) -> list:
-    """Bring a table to the driver only if it is within a bound; refuse it otherwise."""
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        raise ValueError(f"more than {max_rows} rows; aggregate or write the table instead")
-    return rows
-
-

@@ -39,6 +39,7 @@ def appended(spark, df):
     return spark.read.parquet(f"{folder}/out")
 
 
+FIVE_ENDED = "to_timestamp(floor(epoch(ended_at) / 300) * 300)::TIMESTAMP"
 FIVE = "to_timestamp(floor(epoch(ts) / 300) * 300)::TIMESTAMP"
 
 
@@ -139,9 +140,12 @@ def late_signups(spark, sf_dir):
     WHERE event_type = 'signup' AND {FIVE} + INTERVAL 5 MINUTE <= date_trunc('millisecond', late)""")
 def stream_late_metric(spark, sf_dir):
     # rows are merged by window before the late ones are dropped, so the metric counts windows
-    _, run = late_signups(spark, sf_dir)
-    marks = [p["eventTime"]["watermark"] for p in run.recentProgress if "watermark" in p["eventTime"]]
-    return files.local_table(spark, [(progress.dropped_rows(run), marks[0][:19])], "late_windows bigint, watermark string")
+    with progress.reports(spark) as seen:
+        _, run = late_signups(spark, sf_dir)
+        reports = seen.of(run)
+    mark = next(r.watermark for r in reports if r.watermark)
+    return files.local_table(spark, [(sum(r.dropped for r in reports), mark[:19])],
+                             "late_windows bigint, watermark string")
 
 
 @query("stream_two_at_once", "J14", on_tables(
@@ -191,11 +195,12 @@ def stream_resume(spark, sf_dir):
     external = T.clean_trips(spark, sf_dir).select(T.TRIP_COLUMNS).withColumnsRenamed(
         C.rename_map(C.TRIP_FIELDS, to_external=True))
     ids = []
-    for _ in waves(external, spark, folder, "hour(debut) < 8", "hour(debut) BETWEEN 8 AND 15", "hour(debut) > 15"):
-        # a new query on the same checkpoint: only files that arrived since the last stop are read
-        stream = sources.trip_stream(spark, f"{folder}/landing", max_files=None).select("trip_id", "ended_at", "origin")
-        run = progress.finish(sinks.to_parquet(stream, f"{folder}/out", f"{folder}/checkpoint"))
-        ids.append((progress.first_batch(run), progress.last_batch(run)))
+    with progress.reports(spark) as seen:
+        for _ in waves(external, spark, folder, "hour(debut) < 8", "hour(debut) BETWEEN 8 AND 15", "hour(debut) > 15"):
+            # a new query on the same checkpoint: only files that arrived since the last stop are read
+            stream = sources.trip_stream(spark, f"{folder}/landing", max_files=2).select("trip_id", "ended_at", "origin")
+            reports = seen.of(progress.finish(sinks.to_parquet(stream, f"{folder}/out", f"{folder}/checkpoint")))
+            ids.append((reports[0].batch, reports[-1].batch))
     follow = all(later[0] == earlier[1] + 1 for earlier, later in zip(ids, ids[1:]))
     return spark.read.parquet(f"{folder}/out").agg(
         F.count("*").alias("row_count"), F.count_distinct("trip_id").alias("trips"),
@@ -221,15 +226,15 @@ def stream_enriched(spark, sf_dir):
 
 
 @query("stream_district_windows", "J7 D11 J16", on_tables(
-    "SELECT date_trunc('day', ended_at) AS window_start, district, count(*) AS trips,"
+    f"SELECT {FIVE_ENDED} AS window_start, district, count(*) AS trips,"
     " round(avg(duration_min), 6) AS mean_duration FROM clean JOIN stations ON origin = station_id GROUP BY 1, 2"))
 def stream_district_windows(spark, sf_dir):
-    live = S.district_windows(S.enrich(trips(spark, sf_dir), T.stations(spark, sf_dir)), width="1 day", digits=6)
+    live = S.district_windows(S.enrich(trips(spark, sf_dir), T.stations(spark, sf_dir)), digits=6)
     return S.window_bounds(versions(spark, live, "window", "district")).drop("window_end")
 
 
 @query("stream_rule_share", "J17 J16", on_tables(
-    "SELECT date_trunc('day', ended_at) AS window_start, count(*) AS trips,"
+    f"SELECT {FIVE_ENDED} AS window_start, count(*) AS trips,"
     " round(avg(CASE WHEN duration_min > 31 THEN 1.0::DOUBLE ELSE 0 END), 6) AS predicted_share,"
     " round(avg(CASE WHEN rider_type = 'occasionnel' THEN 1.0::DOUBLE ELSE 0 END), 6) AS actual_share"
     " FROM clean JOIN stations ON origin = station_id GROUP BY 1"))
@@ -237,7 +242,7 @@ def stream_rule_share(spark, sf_dir):
     # the windowed shares with a stated rule as the model; stream_scored has the trained one
     scored = S.enrich(trips(spark, sf_dir), T.stations(spark, sf_dir)).withColumn(
         "prediction", (F.col("duration_min") > 31).cast("double"))
-    shares = S.predicted_share(scored, width="1 day", digits=6)
+    shares = S.predicted_share(scored, digits=6)
     return S.window_bounds(versions(spark, shares, "window")).drop("window_end")
 
 

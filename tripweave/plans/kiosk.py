@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from operator import add
+
 from pyspark.sql import functions as F
 
 from tripweave.functions import logs as L
@@ -159,7 +161,9 @@ def rdd_reject_count(spark, sf_dir):
 @query("rdd_top_errors", "G4 D9 I17", TOP_ERRORS)
 def rdd_top_errors(spark, sf_dir):
     errors = P.count_by_key(pair_events(spark, sf_dir).filter(lambda e: e[2] == C.ERROR).map(lambda e: e[1]))
-    named = P.broadcast_names(errors, station_names(spark, sf_dir))
+    # names come from the lines of a delimited file with a header
+    cells = P.table_lines(P.text_lines(spark, T.staged(spark, sf_dir, "stations_csv")), "station_id,")
+    named = P.broadcast_names(errors, cells.map(lambda c: (c[0], c[1])))
     top = named.takeOrdered(10, key=lambda row: (-row[2], row[0]))
     return files.local_table(spark, top, "station_id string, name string, errors bigint")
 
@@ -203,7 +207,10 @@ def rdd_battery_by_station(spark, sf_dir):
 def rdd_sum_of_squares(spark, sf_dir):
     levels = pair_events(spark, sf_dir).filter(lambda e: "batterie" in e[3]).map(lambda e: int(e[3]["batterie"]))
     squares = levels.map(lambda x: x * x)
-    sums = (squares.fold(0, lambda a, b: a + b), squares.filter(lambda x: x % 2 == 0).fold(0, lambda a, b: a + b))
+    even = squares.filter(lambda x: x % 2 == 0)
+    # the sums of either collection, put together again from a local one
+    sums = P.local_collection(spark, [("all", squares.fold(0, add)), ("even", even.fold(0, add))], slices=2)
+    sums = tuple(n for _, n in sums.sortByKey().collect())
     return files.local_table(spark, [sums], "squares bigint, even_squares bigint")
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import hashlib
-import tempfile
+import shutil
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,8 @@ def build_session(app: str = "tripweave", master: str | None = None, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    Where it is unset, a local-mode session gets a temporary folder; a cluster gets an error,
-    because a machine-local folder would be lost with its machine.
+    Where it is unset, a folder in the session's warehouse is taken, and removed when the program ends;
+    a cluster whose warehouse is on a local disk gets an error, because other machines don't see it.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -45,9 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        on_disk = warehouse.startswith(("/", "file:"))
+        if on_disk and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tripweave-"))
+        sc.setCheckpointDir(f"{warehouse}/tripweave-scratch")
+        if on_disk:
+            own = sc.getCheckpointDir().removeprefix("file:")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -84,7 +90,6 @@ def shuffle_width(spark: SparkSession, partitions: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def state_width(spark: SparkSession) -> int:
-    """State partitions for a stream: never more than the session width or the core count."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(width, spark.sparkContext.defaultParallelism))
+#: state partitions of a stream where the caller names no number: fixed for the life of its checkpoint,
+#: so a stream that is to grow should be started with the width of the cluster it will run on
+STATE_WIDTH = 8

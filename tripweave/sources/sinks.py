@@ -50,15 +50,15 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**C.TIMESTAMP_OPTIONS).json(path)
 
 
-def write_single_text(report: DataFrame, path: str, separator: str = ";", max_rows: int = 10_000) -> None:
-    """Write a report as one delimited text file.
+def write_single_text(report: DataFrame, path: str, separator: str = ";", rows_per_file: int = 10_000_000) -> None:
+    """Write a report as one delimited text file; a new file is begun after `rows_per_file` rows.
 
-    One file means one task, so a table larger than `max_rows` is refused, not cut.
+    Rows are gathered by a repartitioning and not by `coalesce`, so the report itself is computed with
+    all tasks and only its writing takes one.
     """
-    if report.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"a single text file is for reports of at most {max_rows} rows")
     line = F.concat_ws(separator, *[F.col(name).cast("string") for name in report.columns])
-    report.select(line.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    (report.select(line.alias("value")).repartition(1).write.mode("overwrite")
+     .option("maxRecordsPerFile", rows_per_file).text(path))
 
 
 def write_ordered_lines(lines: DataFrame, path: str, by: str) -> None:

@@ -144,6 +144,9 @@ def staged(spark: SparkSession, sf_dir: str, kind: str) -> str:
         sinks.write_csv(raw_trips(spark, sf_dir).withColumnsRenamed(external), path)
     elif kind == "trips_json":
         sinks.write_json(raw_trips(spark, sf_dir).withColumnsRenamed(external), path)
+    elif kind == "stations_csv":
+        sinks.write_csv(stations(spark, sf_dir).select(*(inner for _, inner, _ in C.STATION_FIELDS)).withColumnsRenamed(
+            C.rename_map(C.STATION_FIELDS, to_external=True)), path)
     elif kind == "broken_csv":
         trips = raw_trips(spark, sf_dir)
         bad = F.when(F.col("destination").isNull(), "N/A").otherwise(F.col("duration_min").cast("string"))

@@ -3,9 +3,63 @@
 from __future__ import annotations
 
 import time
+from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+
+class Report(NamedTuple):
+    batch: int
+    rows: int
+    dropped: int  # rows that the stateful operators dropped as too late
+    watermark: str | None
+
+
+class Reports(StreamingQueryListener):
+    """Every progress report of the queries that run while it listens; a query itself keeps only the last 100."""
+
+    def __init__(self) -> None:
+        self._by_run: dict[str, list[Report]] = defaultdict(list)
+        self._ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self._by_run[str(p.runId)].append(Report(
+            p.batchId, p.numInputRows, sum(s.numRowsDroppedByWatermark for s in p.stateOperators[:1]),
+            p.eventTime.get("watermark")))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._ended.add(str(event.runId))
+
+    def of(self, query: StreamingQuery, timeout: float = 30.0) -> list[Report]:
+        """The reports of a query that has ended, in order; they arrive a moment after its end."""
+        end = time.monotonic() + timeout
+        while str(query.runId) not in self._ended:
+            if time.monotonic() > end:
+                raise TimeoutError(f"the end of the query was not reported in {timeout} s")
+            time.sleep(0.05)
+        return sorted(self._by_run[str(query.runId)])
+
+
+@contextmanager
+def reports(spark: SparkSession) -> Iterator[Reports]:
+    """Listen to all queries started inside the block."""
+    listener = Reports()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def is_stream(df: DataFrame) -> bool:
@@ -44,16 +98,6 @@ def last_batch(query: StreamingQuery) -> int | None:
     return query.lastProgress["batchId"] if query.lastProgress else None
 
 
-def first_batch(query: StreamingQuery) -> int | None:
-    return query.recentProgress[0]["batchId"] if query.recentProgress else None
-
-
-def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the first stateful operator dropped as too late, over the progress that is kept."""
-    return sum(p["stateOperators"][0]["numRowsDroppedByWatermark"]
-               for p in query.recentProgress if p["stateOperators"])
-
-
 def current_watermark(query: StreamingQuery) -> str | None:
     return (query.lastProgress or {"eventTime": {}})["eventTime"].get("watermark")
 

@@ -7,13 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from tripweave.operators.relational import latest_version
-from tripweave.session import shuffle_width, state_width
+from tripweave.session import STATE_WIDTH, shuffle_width
 
 ONCE = {"availableNow": True}
 
 
 def _start(writer, spark: SparkSession, trigger: dict | None, width: int | None) -> StreamingQuery:
-    with shuffle_width(spark, width or state_width(spark)):
+    with shuffle_width(spark, width or STATE_WIDTH):
         return writer.trigger(**(ONCE if trigger is None else trigger)).start()
 
 
