@@ -37,6 +37,14 @@ def test_lookup_join_is_exact_beyond_the_broadcast_bound(facts, dim, how):
     assert rows(split.select("id", "name")) == expected
 
 
+def test_large_branch_reads_the_facts_once(spark, dim, tmp_path):
+    spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 150) END AS key").write.parquet(
+        str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    plan = lookup_join(stored, dim, "key", max_rows=10, shares=5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(str(tmp_path / "facts")) == 1 and "SinglePartition" not in plan
+
+
 def test_bound_is_checked(dim):
     assert fits_broadcast(dim, 151) and not fits_broadcast(dim, 150)
 

@@ -8,12 +8,22 @@ from pyspark.sql import functions as F
 from tripweave.session import cut_lineage
 
 BROADCAST_ROWS = 200_000  # a lookup side is broadcast only when it is known to have no more rows
+BROADCAST_BYTES = 64 << 20  # and is not estimated to be larger than this
 HOT_SHARES = 1_000        # a key is hot above 1/HOT_SHARES of the rows, so there are fewer hot keys than this
+PIECES = 64               # a hot key is spread over so many pieces, each of which is no longer hot
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Checked bound: stops reading after `max_rows + 1` rows."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """Checked bound on rows and bytes: rows are counted by partition, bytes are the width of the rows counted."""
+    parts = dim.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    rows = parts.agg(F.sum("n")).first()[0] or 0
+    return rows <= max_rows and rows * _width(dim) <= BROADCAST_BYTES
+
+
+def _width(df: DataFrame) -> int:
+    """Bytes of a row as the optimiser assumes them: the default sizes of its columns' types."""
+    sizes = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4, "string": 20, "binary": 100}
+    return 8 + sum(sizes.get(f.dataType.typeName(), 8) for f in df.schema)
 
 
 def hot_keys(df: DataFrame, key: str, shares: int = HOT_SHARES) -> DataFrame:
@@ -28,24 +38,23 @@ def lookup_join(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner",
                 hot: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """Join facts to a dimension with one row per key (`how`: inner or left).
 
-    A dimension within the checked bound is broadcast: no shuffle, so no skew. A larger one is
-    joined in two exact parts: facts with a hot key against the fewer than `shares` dimension
-    rows of those keys (broadcast), all others by a shuffled join in which no key is hot.
+    A dimension within the checked bound is broadcast: no shuffle, so no skew. A larger one is shuffled
+    together with the facts, in one join: facts with a hot key (one of fewer than `shares`, which are
+    broadcast) or with none are dealt over `PIECES` numbers, and the dimension rows of hot keys are
+    repeated for each of them.
     """
     if small is None:
         small = fits_broadcast(dim, max_rows)
     if small:
         return facts.join(F.broadcast(dim), key, how)
-    hot = hot_keys(facts, key, shares) if hot is None else hot
-    hot_dim = dim.join(F.broadcast(hot), key, "left_semi")
-    hot_part = facts.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(hot_dim), key, how)
-    rest = facts.join(F.broadcast(hot), key, "left_anti")
-    if how != "left":
-        return hot_part.unionByName(rest.join(dim, key, how))
-    # NULL keys match nothing and would all land in one shuffle partition
-    keyed = rest.where(F.col(key).isNotNull()).join(dim, key, how)
-    unkeyed = rest.where(F.col(key).isNull())
-    return hot_part.unionByName(keyed).unionByName(unkeyed, allowMissingColumns=True)
+    hot = (hot_keys(facts, key, shares) if hot is None else hot).select(key, F.lit(True).alias("_hot"))
+    # rows are numbered within their partition, so neighbours go to different pieces
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(PIECES)).cast("int")
+    dealt = facts.join(F.broadcast(hot), key, "left").withColumn(
+        "_piece", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(0)).drop("_hot")
+    pieces = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dim.join(F.broadcast(hot), key, "left").withColumn("_piece", F.explode(pieces)).drop("_hot")
+    return dealt.join(repeated, [key, "_piece"], how).drop("_piece")
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, key: str, spread: str, salts: int = 16,

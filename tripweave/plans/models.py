@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from tripweave.operators import ml as M
 from tripweave.operators.relational import count_by, hash_split
-from tripweave.plans.flow import run_folder, trips as trip_stream
-from tripweave.plans.registry import on_tables, query
+from tripweave.plans.flow import FIVE_ENDED, run_folder, trips as trip_stream, waves
+from tripweave.plans.registry import key_hash_ctes, on_tables, query
 from tripweave.session import scratch_path, source_tag
-from tripweave.sources import files, tables as T
-from tripweave.streaming import progress, sinks, transforms as S
+from tripweave.sources import contracts as C, files, tables as T
+from tripweave.streaming import progress, sinks, sources as stream_sources, transforms as S
 
 LABELLED = ("labelled AS (SELECT clean.*, district, CASE WHEN rider_type = 'occasionnel' THEN 1.0::DOUBLE ELSE 0 END"
             " AS label FROM clean JOIN stations ON origin = station_id)")
@@ -232,16 +232,94 @@ def ml_weighted(spark, sf_dir):
     return files.local_table(spark, rows, "model string, recall double, precision double, auc double")
 
 
-@query("ml_threshold", "L16")
-def ml_threshold(spark, sf_dir):
-    return M.threshold_report(judged(spark, sf_dir, "lr_dropoff"), [0.3, 0.367, 0.5])
+THRESHOLDS = [0.3, 0.367, 0.5]
 
 
-@query("stream_scored", "J17 L18")
+@query("ml_threshold", "L16", on_tables(
+    "SELECT threshold, sum(hit)::DOUBLE / sum(label) AS recall, sum(hit)::DOUBLE / nullif(sum(said), 0) AS precision FROM"
+    " (SELECT threshold, label, CASE WHEN duration_min / 124 > threshold THEN 1 ELSE 0 END AS said,"
+    " CASE WHEN duration_min / 124 > threshold AND label = 1 THEN 1 ELSE 0 END AS hit FROM labelled,"
+    f" (SELECT unnest({THRESHOLDS}::DOUBLE[]) AS threshold)) GROUP BY 1", LABELLED))
+def ml_threshold(spark, sf_dir):
+    # a stated probability, so that SQL can read it at the same thresholds; ml_threshold_of_model has a fitted one
+    chance = F.col("duration_min") / 124
+    stated = labelled(spark, sf_dir).select("label", array_to_vector(F.array(1 - chance, chance)).alias("probability"))
+    return M.threshold_report(stated, THRESHOLDS)
+
+
+@query("ml_threshold_of_model", "L16")
+def ml_threshold_of_model(spark, sf_dir):
+    return M.threshold_report(judged(spark, sf_dir, "lr_dropoff"), THRESHOLDS)
+
+
+@query("ml_logistic_closed_form", "L6", on_tables(
+    "SELECT round(ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)), 3) AS slope, round(ln(p0 / (1 - p0)), 3) AS intercept FROM"
+    " (SELECT avg(label) FILTER (duration_min > 31) AS p1, avg(label) FILTER (duration_min <= 31) AS p0 FROM labelled)",
+    LABELLED))
+def ml_logistic_closed_form(spark, sf_dir):
+    """On one binary feature the fitted line is known: the log odds of both groups."""
+    rows = labelled(spark, sf_dir).select("label", (F.col("duration_min") > 31).cast("double").alias("long"))
+    line = M.fit_numeric(rows, ["long"]).stages[-1]
+    return files.local_table(spark, [(round(float(line.coefficients[0]), 3), round(float(line.intercept), 3))],
+                             "slope double, intercept double")
+
+
+@query("ml_model_checks", "L7 L8 L9 L11 L14 L15", on_tables(
+    "SELECT count(*) AS tested, count(*) AS in_confusion, true AS leak_shows, true AS weights_raise_recall,"
+    " true AS importances_sum_to_one, true AS scores_in_range FROM sides WHERE in_test",
+    key_hash_ctes("clean", "trip_id", "hashed") + ", sides AS (SELECT *, (key_hash % 5 + 5) % 5 = 0 AS in_test FROM hashed)"))
+def ml_model_checks(spark, sf_dir):
+    """What must hold of the fitted models whatever they learn."""
+    train, test = split(spark, sf_dir)
+    table = M.confusion(judged(spark, sf_dir, "lr_dropoff")).collect()
+    honest = M.area_under_roc(judged(spark, sf_dir, "lr_pickup"))
+    leaking = M.area_under_roc(M.fit_pickup(train, extra=["fare_eur"]).transform(test))
+    plain = M.by_label(judged(spark, sf_dir, "lr_pickup"), "recallByLabel")
+    weighted = M.by_label(M.fit_weighted(train).transform(test), "recallByLabel")
+    forest = fitted(spark, sf_dir, "rf_dropoff", MODELS["rf_dropoff"]).stages[-1]
+    scores = [M.evaluate(judged(spark, sf_dir, name)) for name in MODELS]
+    return files.local_table(spark, [(
+        test.count(), sum(r["predicted_0"] + r["predicted_1"] for r in table), leaking > honest, weighted >= plain,
+        abs(float(forest.featureImportances.toArray().sum()) - 1) < 1e-9,
+        all(0 <= x <= 1 for pair in scores for x in pair))],
+        "tested bigint, in_confusion bigint, leak_shows boolean, weights_raise_recall boolean,"
+        " importances_sum_to_one boolean, scores_in_range boolean")
+
+
+@query("stream_scored", "J17 L18", on_tables(
+    f"SELECT {FIVE_ENDED} AS window_start, count(*) AS trips,"
+    " round(avg(CASE WHEN rider_type = 'occasionnel' THEN 1.0::DOUBLE ELSE 0 END), 6) AS actual_share,"
+    " true AS share_in_range FROM clean JOIN stations ON origin = station_id GROUP BY 1"))
 def stream_scored(spark, sf_dir):
-    model = fitted(spark, sf_dir, "lr_dropoff", MODELS["lr_dropoff"])
+    # no model of this name is saved, so the pipeline is trained now, on a fifth of the history
+    path = scratch_path(spark, source_tag(sf_dir), "models", "fallback")
+    model = M.load_or_train(spark, path, lambda: labelled(spark, sf_dir), sample=0.2)
     enriched = S.enrich(trip_stream(spark, sf_dir), T.stations(spark, sf_dir))
-    shares = S.predicted_share(model.transform(enriched), width="1 day")
+    shares = S.predicted_share(model.transform(enriched), digits=6)
     folder = run_folder(spark)
     progress.finish(sinks.to_versions(shares, f"{folder}/out", f"{folder}/checkpoint"))
-    return S.window_bounds(sinks.read_versions(spark, f"{folder}/out", "window")).drop("window_end")
+    found = S.window_bounds(sinks.read_versions(spark, f"{folder}/out", "window"))
+    return found.select("window_start", "trips", "actual_share",
+                        F.col("predicted_share").between(0, 1).alias("share_in_range"))
+
+
+@query("stream_predictions_resumed", "L13 B6 J15", on_tables(
+    "SELECT count(*) AS row_count, count(DISTINCT trip_id) AS trips, true AS all_scored, true AS batches_follow"
+    " FROM clean JOIN stations ON origin = station_id"))
+def stream_predictions_resumed(spark, sf_dir):
+    """A saved model scores trips as they come; its query is stopped twice and goes on from its checkpoint."""
+    model = fitted(spark, sf_dir, "lr_dropoff", MODELS["lr_dropoff"])
+    folder, ids = run_folder(spark), []
+    external = T.clean_trips(spark, sf_dir).select(T.TRIP_COLUMNS).withColumnsRenamed(
+        C.rename_map(C.TRIP_FIELDS, to_external=True))
+    with progress.reports(spark) as seen:
+        for _ in waves(external, spark, folder, "hour(debut) < 8", "hour(debut) BETWEEN 8 AND 15", "hour(debut) > 15"):
+            stream = S.enrich(stream_sources.trip_stream(spark, f"{folder}/landing"), T.stations(spark, sf_dir))
+            scored = model.transform(stream).select("trip_id", "ended_at", "rider_type", "prediction")
+            reports = seen.of(progress.finish(sinks.to_parquet(scored, f"{folder}/out", f"{folder}/checkpoint")))
+            ids.append((reports[0].batch, reports[-1].batch))
+    follow = all(later[0] == earlier[1] + 1 for earlier, later in zip(ids, ids[1:], strict=False))
+    return spark.read.parquet(f"{folder}/out").agg(
+        F.count("*").alias("row_count"), F.count_distinct("trip_id").alias("trips"),
+        (F.count_if(F.col("prediction").isin(0.0, 1.0)) == F.count("*")).alias("all_scored"),
+        F.lit(follow).alias("batches_follow"))

@@ -66,9 +66,9 @@ def hops_sql(start: str) -> str:
 
 def _way_sql(nodes: str) -> str:
     """way(id, path): the nodes before, followed back to the start."""
-    return (f"RECURSIVE back(id, at, path) AS (SELECT id, id, [id] FROM {nodes} UNION ALL"
-            " SELECT back.id, via, list_prepend(via, path) FROM back JOIN via ON via.id = at),"
-            " way AS (SELECT id, path FROM back WHERE at NOT IN (SELECT id FROM via))")
+    return (f"RECURSIVE back(id, spot, path) AS (SELECT id, id, [id] FROM {nodes} UNION ALL"
+            " SELECT back.id, via, list_prepend(via, path) FROM back JOIN via ON via.id = spot),"
+            " way AS (SELECT id, path FROM back WHERE spot NOT IN (SELECT id FROM via))")
 
 
 def cheapest_sql(start: str) -> str:

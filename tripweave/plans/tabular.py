@@ -192,6 +192,19 @@ def storage_report(spark, sf_dir):
                                 parquet=T.staged(spark, sf_dir, "clean"))
 
 
+@query("storage_rows", "B9", on_tables(
+    "SELECT 'csv' AS label, count(*) AS row_count, true AS larger_than_parquet FROM raw UNION ALL"
+    " SELECT 'parquet', count(*), false FROM clean"))
+def storage_rows(spark, sf_dir):
+    """The report's folders by what is in them, which SQL can count, and by size against each other."""
+    paths = {"csv": T.staged(spark, sf_dir, "trips_csv"), "parquet": T.staged(spark, sf_dir, "clean")}
+    size = {r["label"]: r["megabytes"] for r in sinks.storage_report(spark, **paths).collect()}
+    tables = {"csv": spark.read.csv(paths["csv"], header=True), "parquet": spark.read.parquet(paths["parquet"])}
+    parts = [df.agg(F.lit(label).alias("label"), F.count("*").alias("row_count"),
+                    F.lit(size[label] > size["parquet"]).alias("larger_than_parquet")) for label, df in tables.items()]
+    return parts[0].unionByName(parts[1])
+
+
 # --- C: projections and predicates -----------------------------------------------------------
 
 @query("project_columns", "C1", on_tables("SELECT name, district, capacity FROM stations"))
@@ -283,6 +296,23 @@ def random_sample_and_split(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
+@query("sample_and_split_sides", "C15", on_tables(
+    "SELECT 0::BIGINT AS in_both, 0::BIGINT AS outside, true AS sampled, count(*) AS trips FROM clean"))
+def sample_and_split_sides(spark, sf_dir):
+    """Whatever the draw: no row is on both sides, none comes from elsewhere, and the shares are about as asked."""
+    trips = T.clean_trips(spark, sf_dir).select("trip_id", "rider_type")
+    sample = R.row_sample(trips)
+    train, test = R.random_split(sample)
+    marks = trips.select("trip_id", F.lit("all").alias("side")).unionByName(
+        train.select("trip_id", F.lit("train").alias("side"))).unionByName(test.select("trip_id", F.lit("test").alias("side")))
+    seen = marks.groupBy("trip_id").agg(*(F.count_if(F.col("side") == s).alias(s) for s in ("all", "train", "test")))
+    return seen.agg(
+        F.count_if((F.col("train") + F.col("test")) > F.col("all")).alias("in_both"),
+        F.count_if(F.col("all") == 0).alias("outside"),
+        ((F.sum(F.col("train") + F.col("test")) / F.sum("all")).between(0.15, 0.25)
+         & (F.sum("train") > F.sum("test"))).alias("sampled"), F.sum("all").alias("trips"))
+
+
 SIDES = key_hash_ctes("clean", "trip_id", "hashed") + (
     ", sides AS (SELECT *, (key_hash % 5 + 5) % 5 = 0 AS in_test FROM hashed)")
 
