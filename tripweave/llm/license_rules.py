@@ -89,7 +89,7 @@ NAMES: list[tuple[str, str, str, str]] = [
 # (label, weight in percent, a word that every match holds, sentence)
 SENTENCES: list[tuple[str, int, str, str]] = [
     ("mit", 90, "hereby", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mit", 75, "merchantability", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions"),
+    ("mit", 75, "portions", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions"),
     ("isc", 90, "permission", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("bsd-2-clause", 70, "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3-clause", 80, "endorse", r"neither the name of .{1,80}? may be used to endorse or promote products derived from this software"),
@@ -114,7 +114,7 @@ SENTENCES: list[tuple[str, int, str, str]] = [
     ("public-domain", 70, "domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("all-rights-reserved", 40, "reserved", r"all rights reserved"),
     ("proprietary", 70, "proprietary", r"proprietary and confidential"),
-    ("proprietary", 65, "unauthorized", r"unauthori[sz]ed (?:copying|use|reproduction|distribution) .{0,60}?(?:is )?(?:strictly )?prohibited"),
+    ("proprietary", 65, "prohibited", r"unauthori[sz]ed (?:copying|use|reproduction|distribution) .{0,60}?(?:is )?(?:strictly )?prohibited"),
     ("commercial", 60, "commercial", r"commercial licen[cs]e (?:agreement|terms)"),
     ("non-commercial", 60, "commercial", r"(?:for|licensed for) non ?commercial use only"),
     ("cc-by-sa", 75, "creative", r"text is available under the creative commons attribution share ?alike licen[cs]e"),

@@ -176,6 +176,7 @@ def shared_passages(docs: DataFrame, length: int = LENGTH, run: int = RUN) -> Da
         F.when(F.col("id") > F.col("first"), F.col("first")).otherwise(F.col("final")).alias("other"))
     runs = ranked.where("id = first").select("id", "th", F.explode("runs").alias("run"))
     several = runs.groupBy("run").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("run")
+    several = C.written(several, "suffix-runs")
     shared = runs.join(several, "run").groupBy("id", "th").agg(F.collect_set("run").alias("runs"))
     found = C.written(suffixes(docs, shared, length, run).distinct(), "suffixes")
     pairs = matches(found, ["run", "after", "before"], length).unionByName(
