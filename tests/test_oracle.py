@@ -32,7 +32,8 @@ def test_query_equals_its_sql(name, spark, sf_dir, duck):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_runs(name, spark, sf_dir):
-    assert QUERIES[name](spark, sf_dir).take(1)
+    # some find nothing in the smallest tables
+    assert QUERIES[name](spark, sf_dir).take(1) or QUERIES[name](spark, LARGER).take(1)
 
 
 def test_entry(spark):
