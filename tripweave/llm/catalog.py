@@ -31,9 +31,5 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": lines.SQL,
-    "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.matches(
-        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
-    "op2_substring_dedup": debruijn.SQL,
-    "op8_quality_rules": quality.SQL,
     "op10_ngram_jaccard_join": jaccard.SQL,
 }
