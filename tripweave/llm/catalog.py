@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripweave.llm import debruijn, decontaminate, jaccard, lattice, licenses, lines, quality, secrets, suffixes, token_counts
+from tripweave.llm import (
+    debruijn,
+    decontaminate,
+    jaccard,
+    lattice,
+    licenses,
+    lines,
+    quality,
+    secrets,
+    suffixes,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,5 +42,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": lines.SQL,
+    "op2_substring_dedup": debruijn.SQL,
+    "op8_quality_rules": quality.SQL,
     "op10_ngram_jaccard_join": jaccard.SQL,
 }
