@@ -9,6 +9,7 @@ from tripweave.functions import logs as L, scalars
 from tripweave.operators import logs as O, rdd as P
 from tripweave.sources import contracts as C
 
+# Lines of the log contract.
 VALID = [
     "2026-01-01T06:03:49 S027 RETRAIT velo=V0696 badge=A-37535",
     "2026-01-01T06:10:59 S030 RETRAIT velo=V0169 badge=A-71688 batterie=47",

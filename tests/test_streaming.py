@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripweave.streaming import progress, sinks, sources, transforms as S
 
+# The external names, and trips whose windows and late rows are known.
 SCHEMA = "trajet_id STRING, station_depart STRING, fin TIMESTAMP, duree_min DOUBLE, type_usager STRING, electrique INT"
 TEN = [
     ("T001", "S001", "08:01", 12.0, "abonne", 0), ("T002", "S002", "08:03", 8.5, "occasionnel", 1),
@@ -24,11 +25,12 @@ LATE = [("R001", "S002", "08:11", 5.0, "abonne", 0), ("R002", "S003", "08:08", 5
 
 
 def land(folder, name, items):
-    names = [part.split()[0] for part in SCHEMA.split(", ")]
-    lines = [json.dumps(dict(zip(names, (i, s, f"2026-03-02 {at}:00", d, t, e)))) for i, s, at, d, t, e in items]
-    hidden = folder / f".{name}.tmp"
-    hidden.write_text("\n".join(lines) + "\n")
-    hidden.rename(folder / f"{name}.json")
+    """The rows as a file that a reader sees whole: written aside, then moved into the folder."""
+    rows_ = [(trip, dock, f"2026-03-02 {at}:00", *rest) for trip, dock, at, *rest in items]
+    columns = [field.split()[0] for field in SCHEMA.split(", ")]
+    aside = folder.parent / f"{name}.json"
+    aside.write_text("".join(json.dumps(dict(zip(columns, row))) + "\n" for row in rows_))
+    aside.replace(folder / aside.name)
 
 
 @pytest.fixture

@@ -15,11 +15,10 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import scalars
 from tripweave.operators.relational import row_sample, with_district
-from tripweave.sources import files
+from tripweave.sources import contracts as C, files
 
 # what is known when a vehicle is taken, and what its return adds
-AT_PICKUP = ["hour", "weekday", "weekend", "electric", "district_vec"]
-AT_DROPOFF = [*AT_PICKUP, "duration_min", "distance_km"]
+AT_PICKUP, AT_DROPOFF = C.AT_PICKUP, C.AT_DROPOFF
 
 
 def model_input(trips: DataFrame, stations: DataFrame) -> DataFrame:

@@ -78,6 +78,10 @@ CASUAL_BASE_EUR = 1.0
 CASUAL_MINUTE_EUR = 0.05
 ELECTRIC_EXTRA_EUR = 0.5
 
+# features of the rider-type models
+AT_PICKUP = ["hour", "weekday", "weekend", "electric", "district_vec"]
+AT_DROPOFF = [*AT_PICKUP, "duration_min", "distance_km"]
+
 EARTH_RADIUS_KM = 6371.0
 
 
