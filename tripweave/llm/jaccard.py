@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm import common as C
@@ -154,11 +154,16 @@ def signatures(docs: DataFrame, above) -> DataFrame:
 
 
 def _may_link(a: str, b: str):
-    """Size and place bounds on a shared token; the first shared token of two sets that link passes both."""
+    """Size and place bounds on a shared token; all tokens that two linked sets share pass them.
+
+    Before the token, two sets have in common what either has there of tokens that several prefixes hold
+    (`s`), and after it what the smaller rest holds.
+    """
     na, nb, pa, pb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
     sizes = 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
+    overlap = F.least(F.col(f"{a}.s"), F.col(f"{b}.s")) + 1 + F.least(na - pa, nb - pb) - 1
     # overlap * (100 + PERCENT) >= PERCENT * (na + nb)
-    return sizes & ((1 + F.least(na - pa - 1, nb - pb - 1)) * (100 + PERCENT) >= PERCENT * (na + nb))
+    return sizes & (overlap * (100 + PERCENT) >= PERCENT * (na + nb))
 
 
 def _alike(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -215,14 +220,18 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     buckets = tokens.groupBy("token", "part").agg(F.min(F.struct("pos", "grp", "n")).alias("hub"),
                                                   F.min("grp").alias("g0"), F.max("grp").alias("g1"))
     shared = C.written(tokens.join(buckets, ["token", "part"]).where("g0 <> g1 OR part > 0").select(
-        "token", "part", "grp", "n", "pos", "hub").distinct(), "jaccard-shared")
+        "token", "part", "grp", "n", "pos", "hub").distinct().withColumn(
+        "s", F.row_number().over(Window.partitionBy("grp").orderBy("pos")) - 1), "jaccard-shared")
 
-    star = shared.select(F.struct("grp", "n", "pos").alias("x"), F.col("hub").alias("y"))
+    # of the hub only the place is known here, which is no less than its s
+    hub = F.struct("hub.grp", "hub.n", "hub.pos", F.col("hub.pos").alias("s"))
+    star = shared.select(F.struct("grp", "n", "pos", "s").alias("x"), hub.alias("y"))
     # the parts of a frequent token meet through their earliest groups
     heads = shared.select("token", "part", "hub").distinct()
     head = heads.groupBy("token").agg(F.min("hub").alias("first"), F.count("*").alias("parts")).where("parts > 1")
     across = heads.join(head, "token").select(F.col("hub").alias("x"), F.col("first").alias("y"))
-    met = star.unionByName(across.select(F.struct("x.grp", "x.n", "x.pos").alias("x"), "y")).where(
+    ends = (F.struct(f"{c}.grp", f"{c}.n", f"{c}.pos", F.col(f"{c}.pos").alias("s")).alias(c) for c in "xy")
+    met = star.unionByName(across.select(*ends)).where(
         (F.col("x.grp") != F.col("y.grp")) & _may_link("x", "y"))
     group_pairs = _pairs(met, "x.grp", "y.grp")
     hubs = groups.select("grp", "hub")
@@ -236,21 +245,17 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # buckets in which two components still meet are paired in full, but for pairs that were verified
     nodes = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     parts = weak_components(nodes, links.toDF("src", "dst")).select(F.col("id").alias("cls"), "component")
-    placed = shared.select("token", "grp", "n", "pos").distinct().join(
+    placed = shared.select("token", "grp", "n", "pos", "s").distinct().join(
         classes.select("grp", "cls"), "grp").join(parts, "cls", "left").withColumn(
         "component", F.coalesce("component", "cls"))
     open_ = placed.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
     rest = C.written(placed.join(open_.select("token"), "token"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
     meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-    sizes = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
-    # before a shared token and after it, two sets share what the smaller side holds at most
-    around = F.least("x.pos", "y.pos") + 1 + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) - 1
-    fits = around * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))
     # of two prefixes all shared tokens are seen here: what they share at most is their number and what
     # follows the last of them
     most = F.col("common") + F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
-    crossing = x.join(y, meets & sizes & fits).groupBy(F.col("x.cls").alias("u"), F.col("y.cls").alias("v")).agg(
+    crossing = x.join(y, meets & _may_link("x", "y")).groupBy(F.col("x.cls").alias("u"), F.col("y.cls").alias("v")).agg(
         F.count("*").alias("common"), F.max("x.pos").alias("px"), F.max("y.pos").alias("py"),
         F.max("x.n").alias("nx"), F.max("y.n").alias("ny")).where(
         most * (100 + PERCENT) >= PERCENT * (F.col("nx") + F.col("ny"))).select("u", "v")
