@@ -20,6 +20,7 @@ from __future__ import annotations
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -78,27 +79,61 @@ def _best_path(edges: str) -> Column:
 
 def unit_counts(docs: DataFrame) -> DataFrame:
     """(unit, n): how often each unit stands in all documents."""
-    def rows(batch: dict[str, list]) -> Iterator[tuple]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted: Counter[str] = Counter()
-        for text in batch["text"]:
-            counted.update(P.units_of(text or ""))
-            if len(counted) > TASK_UNITS:
-                yield from counted.items()
-                counted.clear()
-        yield from counted.items()
-
-    parts = C.map_rows(docs.select(docs["text"].alias("text")), rows, "unit string, n bigint")
+
+        def part() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(counted, type=pa.string()),
+                                               pa.array(counted.values(), type=pa.int64())], names=["unit", "n"])
+
+        for batch in C.small_batches(batches):
+            for text in batch.column("text").to_pylist():
+                counted.update(P.units_of(text or ""))
+                if len(counted) > TASK_UNITS:
+                    yield part()
+                    counted.clear()
+        yield part()
+
+    parts = docs.select(docs["text"].alias("text")).mapInArrow(run, "unit string, n bigint")
     return parts.groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def frequent_units(docs: DataFrame, known: P.Pieces, limit: int = TABLE_UNITS) -> dict[str, tuple[int, ...]]:
-    """The ids of the most frequent units, by the lattice."""
-    top = unit_counts(docs).orderBy(F.desc("n"), "unit").limit(limit).select("unit")
-    table = encode_words(top, known).toArrow()
+    """The ids of the most frequent units, `limit` at most, by the lattice.
+
+    A histogram of the counts, of a few hundred steps whatever the corpus, tells from which count on
+    units are taken, so no task has to rank them.
+    """
+    counts = C.written(unit_counts(docs).where("n > 1").withColumn(
+        "step", F.floor(F.log2("n") * 8).cast("int")), "unit-counts")
+    least, room = 1 << 30, limit
+    for step, n in sorted(counts.groupBy("step").agg(F.count("*")).collect(), reverse=True):
+        room -= n
+        if room < 0:
+            break
+        least = step
+    table = encode_words(counts.where(F.col("step") >= least).select("unit"), known).toArrow()
     return {u: tuple(t for i in ids for t in (known.byte_tokens(chr(-1 - i)) if i < 0 else (i,)))
             for u, ids in zip(table["unit"].to_pylist(), table["ids"].to_pylist(), strict=True)}
 
 
+class _Memory(dict):
+    """Ids by unit: the table, and the units segmented since it was last emptied."""
+
+    def __init__(self, known: P.Pieces, table: dict[str, tuple[int, ...]]) -> None:
+        super().__init__(table)
+        self._known, self._table = known, table
+
+    def __missing__(self, unit: str) -> tuple[int, ...]:
+        ids = self[unit] = self._known.segment(unit)
+        return ids
+
+    def bounded(self) -> None:
+        if len(self) > len(self._table) + TASK_UNITS:
+            self.clear()
+            self.update(self._table)
+
+
 def encode(docs: DataFrame, path: str = P.MODEL, limit: int = TABLE_UNITS) -> tuple[DataFrame, str]:
     """`docs` with a column of token ids added, and its name. Only texts pass through Python."""
     known = P.load(path)
@@ -108,19 +143,14 @@ def encode(docs: DataFrame, path: str = P.MODEL, limit: int = TABLE_UNITS) -> tu
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known, table = sent.value
-        memory: dict[str, tuple[int, ...]] = {}
+        ids_of_unit = _Memory(known, table)
         for texts in batches:
             values, ends, nulls = array("i"), [0], []
             for text in texts.to_pylist():
                 nulls.append(text is None)
-                for unit in P.units_of(text or ""):
-                    ids = table.get(unit) or memory.get(unit)
-                    if ids is None:
-                        if len(memory) > TASK_UNITS:
-                            memory.clear()
-                        ids = memory[unit] = known.segment(unit)
-                    values.extend(ids)
+                values.extend(chain.from_iterable(map(ids_of_unit.__getitem__, P.units_of(text or ""))))
                 ends.append(len(values))
+                ids_of_unit.bounded()
             yield pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()),
                                            pa.array(np.frombuffer(values, dtype=np.int32)),
                                            mask=pa.array(nulls, type=pa.bool_()))

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 MAX_UNIT, MAX_BLANKS = 256, 64
+_WORST, _SCORE = float("-inf"), ""
 #: the same pattern is used by Spark and by Python
 UNIT = rf" {{0,{MAX_BLANKS}}}[^ \n]{{1,{MAX_UNIT}}}| {{1,{MAX_BLANKS}}}|\n"
 units = re.compile(UNIT).findall
@@ -32,6 +33,7 @@ class Pieces:
     size: int
     longest: int = field(init=False)
     unknown: float = field(init=False)
+    _root: dict | None = field(init=False, default=None, repr=False)
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.ids), default=1)
@@ -41,16 +43,25 @@ class Pieces:
         return [self.byte_ids[b] for b in char.encode()]
 
     def segment(self, unit: str) -> tuple[int, ...]:
-        """The ids of the unit's best segmentation."""
-        scores, longest, n = self.scores, self.longest, len(unit)
-        best, back = [0.0] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            top, at = best[end - 1] + self.unknown, end - 1
-            for start in range(end - 1, max(-1, end - 1 - longest), -1):
-                score = scores.get(unit[start:end])
-                if score is not None and best[start] + score >= top:
-                    top, at = best[start] + score, start
-            best[end], back[end] = top, at
+        """The ids of the unit's best segmentation.
+
+        Places are settled from left to right. Of equal scores at a place the one that came first stays,
+        which began earliest: it has the longer last piece.
+        """
+        n, unknown, root = len(unit), self.unknown, self._tree()
+        best, back = [0.0] + [_WORST] * n, [0] * (n + 1)
+        for start in range(n):
+            score, node, end = best[start], root, start
+            for char in unit[start:start + self.longest]:
+                node = node.get(char)
+                if node is None:
+                    break
+                end += 1
+                piece = node.get(_SCORE)
+                if piece is not None and score + piece > best[end]:
+                    best[end], back[end] = score + piece, start
+            if score + unknown > best[start + 1]:
+                best[start + 1], back[start + 1] = score + unknown, start
         out: list[int] = []
         while n:
             piece = unit[back[n]:n]
@@ -59,6 +70,20 @@ class Pieces:
             n = back[n]
         return tuple(reversed(out))
 
+    def _tree(self) -> dict:
+        """The pieces by their characters; a node has its piece's score under a key that is no character."""
+        if self._root is None:
+            self._root = {}
+            for piece, score in self.scores.items():
+                node = self._root
+                for char in piece:
+                    node = node.setdefault(char, {})
+                node[_SCORE] = score
+        return self._root
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_root": None}  # grown again where it is needed
+
 
 def load(path: str = MODEL) -> Pieces:
     """Reads a vocabulary file with its library; control and unknown pieces take no part."""
