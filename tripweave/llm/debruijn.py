@@ -51,8 +51,8 @@ class Scanner:
         import xxhash
 
         joined = b" ".join(words)
-        (hashes, starts, ends), _, at = self.anchors(joined)
-        places = np.flatnonzero(np.isin(at, np.asarray(nominated)))
+        (hashes, starts, ends), runs, at = self.anchors(joined)
+        places = np.flatnonzero(np.isin(runs[at], np.array(nominated, dtype=np.int64).view(np.uint64)))
         nodes = self._runs.of(hashes, self.window - 1)
         view, digest = memoryview(joined), xxhash.xxh3_64_intdigest
         checks = [digest(view[a:b]) for a, b in zip(starts[places].tolist(), ends[places + self.window - 1].tolist(),
@@ -61,17 +61,15 @@ class Scanner:
 
 
 def sketches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(id, th, digest, anchors, places) of every row of a window or more; one place for each distinct anchor run."""
+    """(id, th, digest, anchors) of every row of a window or more: the distinct hashes of its anchors."""
     def rows(batch: dict[str, list]) -> Iterator[tuple]:
         scanner = Scanner(window, anchor)
         for key, th, text in zip(batch["id"], batch["th"], batch["text"], strict=True):
             (hashes, _, _), runs, at = scanner.anchors((text or "").encode())
             if len(hashes) >= window:
-                at = np.unique(at)
-                yield key, th, hashlib.blake2b(hashes, digest_size=16).digest(), C.signed(runs[at]), at
+                yield key, th, hashlib.blake2b(hashes, digest_size=16).digest(), C.signed(np.unique(runs[at]))
 
-    return C.map_rows(C.keyed(docs), rows,
-                      "id bigint, th int, digest binary, anchors array<bigint>, places array<int>")
+    return C.map_rows(C.keyed(docs), rows, "id bigint, th int, digest binary, anchors array<bigint>")
 
 
 def edges(docs: DataFrame, nominated: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
@@ -82,9 +80,9 @@ def edges(docs: DataFrame, nominated: DataFrame, window: int = WINDOW, anchor: i
         scanner = Scanner(window, anchor)
         for batch in C.small_batches(batches, C.BATCH_BYTES // 4):
             made = []
-            for key, th, text, places in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text", "places")),
-                                             strict=True):
-                at, u, v, checks = scanner.edges(text.encode().split(), places)
+            for key, th, text, anchors in zip(*(batch.column(c).to_pylist() for c in ("id", "th", "text", "anchors")),
+                                              strict=True):
+                at, u, v, checks = scanner.edges(text.encode().split(), anchors)
                 n = len(at)
                 made.append((np.full(n, key, dtype=np.int64), np.full(n, th, dtype=np.int32), at.astype(np.int32),
                              C.signed(u), C.signed(v), C.signed(np.array(checks, dtype=np.uint64))))
@@ -124,12 +122,11 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[
     first = known.groupBy("digest").agg(F.min("id").alias("first"))
     ranked = known.join(first, "digest")
     copies = ranked.where("id > first").select("id", "th").distinct()
-    anchors = ranked.where("id = first").select(
-        "id", "th", F.explode(F.arrays_zip("anchors", "places")).alias("a")).select(
-        "id", "th", F.col("a.anchors").alias("anchor"), F.col("a.places").alias("place"))
+    anchors = ranked.where("id = first").select("id", "th", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    nominated = anchors.join(shared.select("anchor"), "anchor").groupBy("id", "th").agg(
-        F.collect_set("place").alias("places"))
+    # a table of its own: the partitions of the join can then be split where an anchor is in many documents
+    shared = C.written(shared.select("anchor"), "debruijn-anchors")
+    nominated = anchors.join(shared, "anchor").groupBy("id", "th").agg(F.collect_set("anchor").alias("anchors"))
     found = C.written(edges(docs, nominated, window, anchor), "debruijn-windows")
 
     later = found.join(paths(found), ["u", "bytes"]).where("id > s_id").select(
