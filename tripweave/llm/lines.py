@@ -72,6 +72,8 @@ def removals(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES
     # rows of one document twice are one place
     repeated = places.groupBy("h").agg(F.min(F.struct("id", "th", "place")).alias("a"),
                                        F.max(F.struct("id", "th", "place")).alias("b")).where("a <> b").select("h")
+    # tables of their own: the partitions of the joins can then be split where a chunk is in many documents
+    repeated = C.written(repeated, "chunk-repeated")
     nominated = places.join(repeated, "h").groupBy("id", "th").agg(F.collect_set("place").alias("places"))
 
     def texts(batch: dict[str, list]) -> Iterator[tuple]:
@@ -85,7 +87,8 @@ def removals(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MIN_LINES
                                     "id bigint, th int, a int, b int, bytes binary"), "chunk-suspects")
     first = suspects.groupBy("bytes").agg(F.min(F.struct("id", "th", "a")).alias("first"),
                                           F.max(F.struct("id", "th", "a")).alias("last")).where("first <> last")
-    later = suspects.join(first.select("bytes", "first"), "bytes").where(F.struct("id", "th", "a") != F.col("first"))
+    first = C.written(first.select("bytes", "first"), "chunk-first")
+    later = suspects.join(first, "bytes").where(F.struct("id", "th", "a") != F.col("first"))
     return later.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
