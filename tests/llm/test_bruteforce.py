@@ -102,6 +102,22 @@ def test_shared_passages(spark, seed):
     assert got and got == in_others(rows, smaller=False)
 
 
+@pytest.mark.parametrize("copies,tasks,paired", [(20, 3, 32), (60, 1, 32), (60, 5, 32), (20, 5, 1)])
+def test_passages_of_near_copies(spark, copies, tasks, paired, monkeypatch):
+    """The true partner of a passage is often not the nearest one in the order."""
+    monkeypatch.setattr(suffixes, "PAIRED", paired, raising=False)
+    rng = random.Random(18)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(400)]
+    rows = [(k, " ".join(w if rng.random() > 1 / 40 else f"{w}{rng.randint(0, 9)}" for w in words)) for k in range(copies)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        found = suffixes.report(spark.createDataFrame(rows, FIELDS)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    got = {(r["doc_id"], q) for r in found for q in range(r["first_word"], r["first_word"] + r["n_words"])}
+    assert got == in_others(rows, smaller=False)
+
+
 @pytest.mark.parametrize("seed", [6, 7])
 def test_components(spark, seed, monkeypatch):
     monkeypatch.setattr(jaccard, "PART", 8)  # frequent tokens in parts, as on large tables

@@ -5,15 +5,16 @@ Of all suffixes of a text (from each word to the end) only those are kept that s
 place, and equal passages hold the same. Suffixes whose first run stands in one document only have no
 partner and go. The others carry the hashes of the 50 words that follow and of the 42 words before.
 
-They are sorted by what follows, then by what precedes (and once more the other way round, which brings
-those together that differ soon after the place), and each is compared with its next neighbours from
-other documents: the common words to the right and to the left of the place together are the match.
-Matches of 50 words or more are reported for both documents, and those of one document that overlap are
-merged, which extends a passage over all its minimisers.
+They are sorted by run, by what follows, then by what precedes. The nearest partner on either side need
+not be the one that shares 50 words, so few suffixes of one run are all compared with one another: the
+common words to the right and to the left of the place together are the match. Where a run has many, or
+lies at the border of two tasks, every 50-word window around the place gets a 128-bit digest of its word
+codes, as far as the neighbours in the order share enough words to the right, and windows of two documents
+or more are matches. Matches of 50 words or more are reported for both documents, and those of one document
+that overlap are merged, which extends a passage over all its minimisers.
 
 The order is a range partitioning with (id, place) as its last key, so any number of equal suffixes is
-spread over tasks; neighbours across the border of two tasks are compared from the tasks' first and last
-rows. Documents with equal word sequences are one: each is reported whole.
+spread over tasks. Documents with equal word sequences are one: each is reported whole.
 
 Defined results: null and blank texts and texts under 50 words have no passage; repeats within one
 document, and rows that share an id, are not reported; null ids come last and come out null.
@@ -35,7 +36,9 @@ LENGTH = 50
 RUN = 8
 _FIELDS = ["run", "after", "before", "id", "th", "place"]
 _SUFFIX = "run bigint, after binary, before binary, id bigint, th int, place int"
-_FOUND = "border boolean, task int, last boolean, other bigint, start int, stop int, " + _SUFFIX
+_FOUND = "id bigint, th int, start int, stop int, other bigint, window binary"
+#: runs with up to so many suffixes are compared pair by pair in their task; others by the digests of their windows
+PAIRED = 32
 
 
 class Scanner:
@@ -86,81 +89,134 @@ def _common(a: bytes, b: bytes) -> int:
     return int(np.argmin(np.frombuffer(a, np.uint32, n) == np.frombuffer(b, np.uint32, n)))
 
 
-def _match(a: tuple, b: tuple, length: int) -> Iterator[tuple]:
-    """The passage that two suffixes of different documents share, once for each of them."""
-    if a[0] == b[0] and a[3] != b[3]:
-        right, left = _common(a[1], b[1]), _common(a[2], b[2])
-        if right + left >= length:
-            for x, y in ((a, b), (b, a)):
-                yield False, None, None, y[3], x[5] - left, x[5] + right, *x
+def _paired(rows: list[tuple], length: int) -> Iterator[tuple]:
+    """Every suffix of one run against every other: what it shares with other documents, as one span."""
+    spans: dict[int, list[int]] = {}
+    for j, b in enumerate(rows):
+        for i in range(j):
+            a = rows[i]
+            if a[3] == b[3]:
+                continue
+            right, left = _common(a[1], b[1]), _common(a[2], b[2])
+            if right + left >= length:
+                for k, mine, other in ((i, a, b[3]), (j, b, a[3])):
+                    start, stop = mine[5] - left, mine[5] + right
+                    known = spans.setdefault(k, [start, stop, other])
+                    known[:] = min(known[0], start), max(known[1], stop), min(known[2], other)
+    for k, (start, stop, other) in spans.items():
+        yield rows[k][3], rows[k][4], start, stop, other, None
+
+
+def _windows(row: tuple, right: int, length: int) -> Iterator[tuple]:
+    """A digest for each window of `length` words around the place that has at most `right` words from it on."""
+    words = np.frombuffer(row[2], ">u4")[::-1].tobytes() + row[1]
+    left = len(row[2]) // 4
+    head = row[0].to_bytes(8, "big", signed=True)
+    for before in range(max(0, length - right), left + 1):
+        part = words[4 * (left - before):4 * (left - before + length)]
+        if len(part) == 4 * length:
+            digest = hashlib.blake2b(head + before.to_bytes(4, "big") + part, digest_size=16).digest()
+            yield row[3], row[4], row[5] - before, row[5] - before + length, None, digest
+
+
+def _groups(rows: Iterator[tuple], length: int) -> Iterator[tuple]:
+    """Spans and windows of a task's suffixes. The task's first and last run may go on in other tasks."""
+    held: list[tuple] = []  # the rows of a run, as long as they are few
+    many: _Many | None = None
+    first = True
+    for row in rows:
+        if held and row[0] != held[-1][0]:
+            if many is not None:
+                yield from many.end(None)
+            elif first:
+                yield from _all_windows(held, length)
+            else:
+                yield from _paired(held, length)
+            held, many, first = [], None, False
+        if many is not None:
+            yield from many.add(row)
+            held[:] = [row]
+            continue
+        held.append(row)
+        if len(held) > PAIRED:
+            many = _Many(length, None if first else 0)
+            for earlier in held:
+                yield from many.add(earlier)
+            held = [row]
+    if many is not None:
+        yield from many.end(length)
+    elif held:
+        yield from _all_windows(held, length)
+
+
+def _all_windows(rows: list[tuple], length: int) -> Iterator[tuple]:
+    for row in rows:
+        yield from _windows(row, length, length)
 
 
-def _neighbours(rows: Iterator[tuple], length: int) -> Iterator[tuple]:
-    """Compares every row with the nearest rows of another document before and after it."""
-    run: list[tuple] = []  # rows of one document that follow one another
-    earlier = None
-    for row in rows:
-        if run and (row[3] != run[-1][3] or row[0] != run[-1][0]):
-            for mine in run:
-                yield from _match(mine, row, length)
-            earlier, run = run[-1], []
-        elif earlier is not None and run:
-            yield from _match(earlier, row, length)
-        run.append(row)
+class _Many:
+    """Windows of the suffixes of one run, sorted by what follows. The nearest rows of other documents before
+    and after a row bound how many words to the right any other document shares with it."""
 
+    def __init__(self, length: int, edge: int | None) -> None:
+        #: words shared with whatever stands before the first row; None: not known, it is in another task
+        self.length, self.edge = length, length if edge is None else edge
+        self.document: list[tuple[tuple, int]] = []  # rows of one document that follow one another
+        self.earlier: bytes | None = None
 
-def matches(found: DataFrame, order: list[str], length: int = LENGTH) -> DataFrame:
-    """(id, th, start, stop, other): passages of neighbours in the given order of the suffixes."""
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    def add(self, row: tuple) -> Iterator[tuple]:
+        if self.document and self.document[-1][0][3] != row[3]:
+            last = self.document[-1][0]
+            for mine, right in self.document:
+                yield from _windows(mine, max(right, _common(mine[1], row[1])), self.length)
+            self.earlier, self.document = last[1], []
+        right = self.edge if self.earlier is None else _common(self.earlier, row[1])
+        self.document.append((row, right))
+
+    def end(self, beyond: int | None) -> Iterator[tuple]:
+        for mine, right in self.document:
+            yield from _windows(mine, max(right, beyond or 0), self.length)
+        self.document = []
 
-        task, ends = TaskContext.get().partitionId(), []
 
+def compared(found: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(id, th, start, stop, other, window): passages found within a task (window is null), and the windows
+    whose partners may be anywhere among many suffixes or in another task."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for row in zip(*(batch.column(c).to_pylist() for c in _FIELDS), strict=True):
-                    if not ends:
-                        ends.append(row)
-                    ends[1:] = [row]
-                    yield row
-
-        made = [*()]
-        for out in _neighbours(rows(), length):
+                yield from zip(*(batch.column(c).to_pylist() for c in _FIELDS), strict=True)
+
+        made = []
+        for out in _groups(rows(), length):
             made.append(out)
             if len(made) >= 10_000:
                 yield _found(made)
                 made = []
-        made += [(True, task, k > 0, None, None, None, *row) for k, row in enumerate(ends)]
-        if len(ends) == 1:
-            made.append((True, task, True, None, None, None, *ends[0]))
         if made:
             yield _found(made)
 
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, before = [], None
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ["last", *_FIELDS]), strict=True):
-                if row[0]:
-                    before = row[1:]
-                elif before is not None:
-                    made += _match(before, row[1:], length)
-        if made:
-            yield _found(made)
+    by = ["run", "after", "before", "id", "place"]
+    return found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(compare, _FOUND)
+
 
-    by = [*order, "id", "place"]
-    sorted_ = found.repartitionByRange(*by).sortWithinPartitions(*by)
-    inside = C.written(sorted_.mapInArrow(compare, _FOUND), "suffix-matches")
-    # two rows a task
-    borders = inside.where("border").coalesce(1).sortWithinPartitions("task", "last").mapInArrow(across, _FOUND)
-    return inside.where("NOT border").unionByName(borders).select("id", "th", "start", "stop", "other")
+def matches(found: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(id, th, start, stop, other): the passages that suffixes of different documents share."""
+    made = C.written(compared(found, length), "suffix-matches")
+    windows = made.where("window IS NOT NULL")
+    several = windows.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    # a table of its own: the partitions of the join can then be split where a window is in many documents
+    several = C.written(several, "suffix-windows")
+    other = F.when(F.col("id") > F.col("low"), F.col("low")).otherwise(F.col("high"))
+    shared = windows.drop("other").join(several, "window").select("id", "th", "start", "stop", other.alias("other"))
+    return made.where("window IS NULL").drop("window").unionByName(shared)
 
 
 def _found(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.bool_(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(),
-             pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-        names=["border", "task", "last", "other", "start", "stop", *_FIELDS])
+        names=["id", "th", "start", "stop", "other", "window"])
 
 
 def shared_passages(docs: DataFrame, length: int = LENGTH, run: int = RUN) -> DataFrame:
@@ -179,9 +235,7 @@ def shared_passages(docs: DataFrame, length: int = LENGTH, run: int = RUN) -> Da
     several = C.written(several, "suffix-runs")
     shared = runs.join(several, "run").groupBy("id", "th").agg(F.collect_set("run").alias("runs"))
     found = C.written(suffixes(docs, shared, length, run).distinct(), "suffixes")
-    pairs = matches(found, ["run", "after", "before"], length).unionByName(
-        matches(found, ["run", "before", "after"], length))
-    return _merged(pairs.unionByName(whole))
+    return _merged(matches(found, length).unionByName(whole))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
