@@ -1,8 +1,8 @@
 r"""Secret scans: patterns nominate strings, a random forest removes the false positives.
 
-Candidates are runs of 16 or more characters of keys and encodings, values assigned to a credential
-name, and private-key headers. A candidate is described by its length, how its characters follow one
-another (changes of class, likelihood of letter pairs, entropy), how much of it dictionary pieces cover,
+Candidates are runs of 16 or more characters of keys and encodings, values of 8 or more characters
+assigned to a credential name (whole, instead of the runs in them), and private-key headers. A
+candidate is described by its length, how its characters follow one another (changes of class, likelihood of letter pairs, entropy), how much of it dictionary pieces cover,
 whether it looks like a path or an address, and the words before it. The forest is fitted on labelled
 findings and scores every candidate.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -43,8 +44,9 @@ DECOYS = ("commit", "sha", "sha1", "sha256", "md5", "hash", "checksum", "digest"
 _NAME = re.compile(rf"(?:^|[^A-Za-z0-9])(?:\w*[_-])?({'|'.join(map(re.escape, NAMES))})[\"']?\s*(?:=|:|:=|=>)\s*[\"'`]?$",
                    re.I)
 _CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9][A-Za-z0-9+/_.@~=-]{14,510}[A-Za-z0-9=]", re.A)
-_ASSIGNED = re.compile(rf"(?:{'|'.join(map(re.escape, NAMES))})[\"']?\s*(?:=|:|:=|=>)\s*[\"'`]?([^\s\"'`]{{8,15}})(?![^\s\"'`])",
-                       re.I)
+#: the value up to its closing quote or a blank; the last group is a value without quotes
+_ASSIGNED = re.compile(rf"(?:{'|'.join(map(re.escape, NAMES))})[\"']?\s*(?::=|=>|=|:)\s*"
+                       r"(?:\"([^\s\"]{8,})|'([^\s']{8,})|`([^\s`]{8,})|([^\s\"'`]{8,}))", re.I)
 _KNOWN = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_\w{16,}|"
                     r"AIza[\w-]{35}|eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+|glpat-[\w-]{20}|-----BEGIN .*")
 _ADDRESS = re.compile(r"[^@\s]+@[\w-]+\.[\w.-]+$|(?:\d{1,3}\.){3}\d{1,3}$|https?://")
@@ -122,8 +124,19 @@ def candidates(docs: DataFrame, path: str = P.MODEL) -> DataFrame:
 def places(text: str) -> list[tuple[int, str]]:
     """(start, value) of all candidates of a text, by start."""
     found = {m.start(): m.group().rstrip(".") for m in _CANDIDATE.finditer(text)}
-    for m in _ASSIGNED.finditer(text):
-        found.setdefault(m.start(1), m.group(1))
+    strings = list(found)
+    m = _ASSIGNED.search(text)
+    while m:
+        (start, end), value = m.span(m.lastindex), m.group(m.lastindex)
+        bare = m.lastindex == 4
+        m = _ASSIGNED.search(text, start)  # a value may hold assignments itself
+        if bare and len(found.get(start, "")) >= len(value.rstrip(".,;)]}>")):
+            continue  # without quotes, marks behind the string belong to the sentence
+        for k in strings[bisect_left(strings, start):bisect_left(strings, end)]:
+            # parts of the value; a known format inside it is a finding of its own
+            if k in found and k + len(found[k]) <= end and not _KNOWN.match(found[k]):
+                del found[k]
+        found.setdefault(start, value)
     return sorted(found.items())
 
 
