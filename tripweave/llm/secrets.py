@@ -9,7 +9,7 @@ findings and scores every candidate.
 Labelled findings: a table (doc_id, value, secret) may be given. Without one, findings are labelled by a
 rule that looks at the name a value is assigned to and at its alphabet, and the forest learns to tell
 from the string and its surroundings what the rule tells from both. Fitting takes a sample of at most
-`SAMPLE` labelled findings, chosen by a hash of the value; candidates and scores cover all documents.
+`SAMPLE` distinct labelled findings, chosen by a hash of the value; candidates and scores cover all documents.
 
 Values never leave the operator: findings carry a digest and the place.
 
@@ -155,7 +155,8 @@ def scored(found: DataFrame, labelled: DataFrame | None = None, sample: int = SA
     else:
         known = found.join(labelled.select(labelled["doc_id"].cast("long").alias("id"), F.sha2("value", 256).alias("digest"),
                                            labelled["secret"].cast("double").alias("label")), ["id", "digest"])
-    # as many of either kind as the bound allows, so that rare secrets are learned from
+    # as many of either kind as the bound allows, so that rare secrets are learned from; copies count once
+    known = known.dropDuplicates(["digest", "features", "label"])
     order = F.xxhash64("digest", "features")
     half = [known.where(F.col("label") == k).orderBy(order).limit(sample // 2) for k in (0.0, 1.0)]
     training = C.written(half[0].unionByName(half[1]).withColumn("features", array_to_vector("features")), "secret-sample")
