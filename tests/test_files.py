@@ -93,6 +93,13 @@ def test_single_text(spark, tmp_path):
     assert [p.read_text() for p in target.glob("part-*")] == ["S001;Gare;3\n"]
 
 
+def test_single_text_refuses_large_tables(spark, tmp_path):
+    sinks.write_single_text(spark.range(10), str(tmp_path / "fits"), max_rows=10)
+    with pytest.raises(ValueError, match="write_ordered_lines"):
+        sinks.write_single_text(spark.range(11), str(tmp_path / "large"), max_rows=10)
+    assert not (tmp_path / "large").exists()
+
+
 def test_load_or_rebuild(spark, tmp_path):
     path = str(tmp_path / "out")
     assert files.load_or_rebuild(spark, path, lambda: spark.range(3)).count() == 3

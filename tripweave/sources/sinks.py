@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.session import cut_lineage
 from tripweave.sources import contracts as C
 
 
@@ -50,15 +51,19 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**C.TIMESTAMP_OPTIONS).json(path)
 
 
-def write_single_text(report: DataFrame, path: str, separator: str = ";", rows_per_file: int = 10_000_000) -> None:
+def write_single_text(report: DataFrame, path: str, separator: str = ";", rows_per_file: int = 10_000_000,
+                      max_rows: int = 10_000_000) -> None:
     """Write a report as one delimited text file; a new file is begun after `rows_per_file` rows.
 
     Rows are gathered by a repartitioning and not by `coalesce`, so the report itself is computed with
-    all tasks and only its writing takes one.
+    all tasks, once, and only its writing takes one. More than `max_rows` rows are refused before anything
+    is written to `path`: `write_ordered_lines` writes such tables with all tasks.
     """
     line = F.concat_ws(separator, *[F.col(name).cast("string") for name in report.columns])
-    (report.select(line.alias("value")).repartition(1).write.mode("overwrite")
-     .option("maxRecordsPerFile", rows_per_file).text(path))
+    lines = cut_lineage(report.select(line.alias("value")))
+    if lines.count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows for one task; write_ordered_lines writes with all tasks")
+    lines.repartition(1).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def write_ordered_lines(lines: DataFrame, path: str, by: str) -> None:
