@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tripweave.llm import (
+    classifier,
     debruijn,
     decontaminate,
     jaccard,
     lattice,
     licenses,
     lines,
+    periods,
     quality,
     secrets,
+    spellings,
     suffixes,
     token_counts,
 )
@@ -38,6 +41,10 @@ QUERIES: dict[str, Query] = {
     "op9_benchmark_decontamination": lambda spark, sf_dir: decontaminate.matches(
         documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")),
     "op10_ngram_jaccard_join": lambda spark, sf_dir: jaccard.report(documents(spark, sf_dir)),
+    "op11_spelling_variants": lambda spark, sf_dir: spellings.groups(documents(spark, sf_dir)),
+    "op12_quality_classifier": lambda spark, sf_dir: classifier.report(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")),
+    "op13_periodic_runs": lambda spark, sf_dir: periods.scan(documents(spark, sf_dir)),
 }
 
 SQL: dict[str, str] = {
@@ -45,4 +52,5 @@ SQL: dict[str, str] = {
     "op2_substring_dedup": debruijn.SQL,
     "op8_quality_rules": quality.SQL,
     "op10_ngram_jaccard_join": jaccard.SQL,
+    "op11_spelling_variants": spellings.SQL,
 }
