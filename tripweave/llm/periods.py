@@ -29,6 +29,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -235,18 +236,16 @@ def scan(docs: DataFrame) -> DataFrame:
 def collapsed(docs: DataFrame) -> DataFrame:
     """`docs` with one period left of every run: the kept words of a text joined by one space. Nothing is planted,
     and texts without runs stay as they are."""
-    def texts(parts):
-        import pandas as pd
-
-        for part in parts:
-            out = []
-            for text in part:
-                words = (text or "").encode().split()
-                runs = _runs(words)
-                out.append(b" ".join(_kept(words, runs)).decode() if runs else text)
-            yield pd.Series(out, dtype=object)
-
-    return docs.withColumn("text", F.pandas_udf(texts, "string")(docs["text"]))
+    def text_of(text: str | None) -> str | None:
+        words = (text or "").encode().split()
+        runs = _runs(words)
+        return b" ".join(_kept(words, runs)).decode() if runs else text
+
+    @F.pandas_udf("string")
+    def texts(part: pd.Series) -> pd.Series:
+        return pd.Series([text_of(t) for t in part], dtype=object)
+
+    return docs.withColumn("text", texts(docs["text"]))
 
 
 def _runs(words: list[bytes]) -> list[tuple[int, int, int]]:
