@@ -42,7 +42,8 @@ def test_large_branch_reads_the_facts_once(spark, dim, tmp_path):
         str(tmp_path / "facts"))
     stored = spark.read.parquet(str(tmp_path / "facts"))
     plan = lookup_join(stored, dim, "key", max_rows=10, shares=5)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count(str(tmp_path / "facts")) == 1 and "SinglePartition" not in plan
+    # the facts are the only table in files here; a plan's text shortens long paths
+    assert plan.count("FileScan parquet") == 1 and "SinglePartition" not in plan
 
 
 def test_bound_is_checked(dim):

@@ -429,7 +429,7 @@ def defect_profile(spark, sf_dir):
 @query("copy_count", "E6 H3", on_tables(
     "SELECT (SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS copies"))
 def copy_count(spark, sf_dir):
-    return cleaning.copy_count(T.raw_trips(spark, sf_dir))
+    return cleaning.copy_count(T.raw_trips(spark, sf_dir), cleaning.trip_print())
 
 
 @query("rate_per_rain_class", "E7 I8", on_tables(
