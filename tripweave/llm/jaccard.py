@@ -81,9 +81,9 @@ def frequent_counters(docs: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["at", "n"])
 
     counted = docs.select(docs["text"].alias("text")).mapInArrow(count, "at bigint, n bigint")
-    table = counted.groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    table = counted.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(2 * size, dtype=np.float64)
-    sums[table["at"].to_numpy(dtype=np.int64)] = table["n"].to_numpy(dtype=np.float64)
+    sums[table["at"].to_numpy()] = table["n"].to_numpy()
     base = np.repeat(np.median(sums.reshape(2, size), axis=1), size)
     above = sums - base
     return np.where(above > 16 + 3 * np.sqrt(base), above, 0.0)
@@ -112,12 +112,13 @@ def _prefix(tokens: np.ndarray, above: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _bits(tokens: np.ndarray) -> np.ndarray:
-    """A small image of a set: each token flips one bit. Its size is the power of two from four bits a token on.
+    """A small image of a set: each token flips one bit. Its size is the power of two from one bit a token on.
 
     Two images of one size differ in at most as many bits as the sets differ in tokens, and so do images
-    folded to half their size.
+    folded to half their size. Sets that have half of their union in common, or less, differ in more bits
+    than a link allows nearly always, at one bit a token too.
     """
-    size = max(IMAGE, 1 << (4 * len(tokens) - 1).bit_length())
+    size = max(IMAGE, 1 << (len(tokens) - 1).bit_length())
     at = (C.mixed(tokens * _SECOND) & np.uint64(size - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=size) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -209,9 +210,10 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark: SparkSession = docs.sparkSession
     above = spark.sparkContext.broadcast(frequent_counters(docs))
     known = C.written(signatures(docs, above), "jaccard-signatures")
-    classes = known.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.min(F.struct("id", "th")).alias("first"), F.max("grp").alias("grp"), F.max("n").alias("n"))
-    groups = classes.groupBy("grp").agg(F.min("cls").alias("hub"), F.count("*").alias("classes"))
+    above.destroy()
+    classes = C.written(known.where("cls IS NOT NULL").groupBy("cls").agg(
+        F.min(F.struct("id", "th")).alias("first"), F.max("grp").alias("grp"), F.max("n").alias("n")), "jaccard-classes")
+    groups = C.written(classes.groupBy("grp").agg(F.min("cls").alias("hub"), F.count("*").alias("classes")), "jaccard-groups")
 
     # of each token, the group that has it earliest; tokens of one group only are of no use
     prefixes = known.where("tokens IS NOT NULL").select("grp", "n", F.posexplode(F.arrays_zip("tokens", "parts")).alias(
@@ -245,9 +247,8 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # buckets in which two components still meet are paired in full, but for pairs that were verified
     nodes = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     parts = weak_components(nodes, links.toDF("src", "dst")).select(F.col("id").alias("cls"), "component")
-    placed = shared.select("token", "grp", "n", "pos", "s").distinct().join(
-        classes.select("grp", "cls"), "grp").join(parts, "cls", "left").withColumn(
-        "component", F.coalesce("component", "cls"))
+    homes = classes.select("grp", "cls").join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    placed = shared.select("token", "grp", "n", "pos", "s").join(C.written(homes, "jaccard-homes"), "grp")
     open_ = placed.groupBy("token").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 <> c1")
     rest = C.written(placed.join(open_.select("token"), "token"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
@@ -272,9 +273,21 @@ def class_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     if not second.take(1):
         return known, parts
     more = C.written(_verified(second, class_sets(docs, classes, second)), "jaccard-more")
-    nodes = nodes.union(second.select(F.explode(F.array("a", "b")))).distinct()
-    return known, weak_components(nodes, links.unionByName(more).toDF("src", "dst")).select(
-        F.col("id").alias("cls"), "component")
+    if not more.take(1):
+        return known, parts
+    return known, _joined(parts, more)
+
+
+def _joined(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """(cls, component) after more links between classes: components meet as single nodes."""
+    ends = more.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    parts = C.written(parts.unionByName(ends.join(parts, "cls", "left_anti").withColumn("component", F.col("cls"))),
+                      "jaccard-parts")
+    between = more.join(parts.toDF("a", "src"), "a").join(parts.toDF("b", "dst"), "b").select("src", "dst").distinct()
+    between = C.written(between, "jaccard-between")
+    nodes = between.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    merged = weak_components(nodes, between).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    return parts.join(merged, "component", "left").select("cls", F.coalesce("whole", "component").alias("component"))
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
