@@ -63,6 +63,16 @@ def test_previous_value_equals_one_window(facts, width):
     assert rows(chunked.select("id", "previous")) == rows(expected.select("id", "previous"))
 
 
+def test_look_back_shuffles_the_rows_once(facts):
+    """Beside the rows, only one value a piece is shuffled: by piece, by key, and back to the rows."""
+    found = previous_value(facts.withColumn("wide", F.lit("w")), "key", [F.col("t"), F.col("id")], "id",
+                           chunk=F.floor(F.col("t") / 100))
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [k for k, line in enumerate(plan) if "Exchange hashpartitioning" in line]
+    below = [" ".join(plan[k + 1:k + 3]) for k in exchanges]
+    assert len(exchanges) >= 3 and len([line for line in below if "max_by" not in line and "_last" not in line]) == 1, below
+
+
 def test_rank_is_limited_before_the_shuffle(facts):
     counts = R.count_by(facts, "key", "t")
     for ranked in (R.busiest_in_group(counts, "key"), R.favourite_in_group(counts, "key", tie="t")):

@@ -74,19 +74,18 @@ def previous_value(df: DataFrame, key: str, order: list[Column], value: str, chu
     """`lag(value)` per key in the given order, without holding a whole key in one task.
 
     `chunk` cuts each key's sequence into consecutive pieces and must not decrease along `order`.
-    A first window looks back inside the pieces. Only the first row of a piece is left without
-    its answer, which is the last row of the piece before: a second window runs over the first
-    and last rows of all pieces of a key, while the rows between stay grouped by piece.
+    A window looks back inside the pieces. Only the first row of a piece is left without its answer,
+    which is the last value of the piece before: a grouping gives each piece's last value, combined before it is
+    shuffled, and the answers, one a piece, are joined to the rows where these already are.
     """
-    inside = Window.partitionBy(key, "_chunk").orderBy(*order)
-    rows = df.withColumn("_chunk", chunk).withColumns({
-        "_lag": F.lag(value).over(inside),
-        "_first": F.row_number().over(inside) == 1,
-        "_last": F.lead(F.lit(True), 1, False).over(inside) == F.lit(False),
-    })
-    ends = F.col("_first") | F.col("_last")
-    across = Window.partitionBy(key, "_piece").orderBy(*order)
-    return (rows.withColumn("_piece", F.when(~ends, F.col("_chunk")))
-            .withColumn("_before", F.lag(value).over(across))
+    # as fields of a struct, keys and pieces that are null meet like any other
+    piece = [F.struct(F.col(key).alias("k")).alias("_key"), F.struct(chunk.alias("c")).alias("_chunk")]
+    rows = df.select("*", *piece)
+    inside = Window.partitionBy("_key", "_chunk").orderBy(*order)
+    looked = rows.withColumns({"_lag": F.lag(value).over(inside), "_first": F.row_number().over(inside) == 1})
+    last = rows.groupBy("_key", "_chunk").agg(F.max_by(value, F.struct(*order)).alias("_last"))
+    before = last.select("_key", "_chunk", F.lag("_last").over(
+        Window.partitionBy("_key").orderBy("_chunk")).alias("_before"))
+    return (looked.join(before, ["_key", "_chunk"], "left")
             .withColumn(alias, F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")))
-            .drop("_chunk", "_lag", "_first", "_last", "_piece", "_before"))
+            .drop("_key", "_chunk", "_lag", "_first", "_before"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tripweave.operators.relational import count_by
 from tripweave.plans.registry import key_hash_ctes, on_tables, query
-from tripweave.session import scratch_path
+from tripweave.session import STATE_WIDTH, scratch_path
 from tripweave.sources import contracts as C
 from tripweave.sources import files, tables as T
 from tripweave.streaming import progress, sinks, sources, transforms as S
@@ -148,6 +148,24 @@ def stream_late_metric(spark, sf_dir):
                              "late_windows bigint, watermark string")
 
 
+@query("stream_late_rows_aside", "J10", f"""
+    WITH mark AS (SELECT max(ts) - INTERVAL 10 MINUTE AS reached FROM events WHERE event_type <> 'signup')
+    SELECT event_type, event_type = 'signup' AND {FIVE} + INTERVAL 5 MINUTE <= date_trunc('millisecond', reached) AS late,
+    count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM events, mark GROUP BY 1, 2""")
+def stream_late_rows_aside(spark, sf_dir):
+    """Late rows are single rows here, counted and written to a folder of their own."""
+    folder = run_folder(spark)
+    table = T.table(spark, sf_dir, "events").select(
+        "event_id", F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event_type")
+    for _ in waves(table, spark, folder, "event_type <> 'signup'", "event_type = 'signup'"):
+        stream = sources.json_stream(spark, f"{folder}/landing", "event_id BIGINT, ts STRING, event_type STRING",
+                                     max_files=None).withColumn("ts", F.to_timestamp("ts"))
+        marked = S.mark_late(stream, "ts", F.window("ts", "5 minutes")["end"], "10 minutes", lanes=STATE_WIDTH)
+        progress.finish(sinks.to_punctual_and_late(marked, f"{folder}/out", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/out").groupBy("event_type", F.col("late").cast("boolean").alias("late")).agg(
+        F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"))
+
+
 @query("stream_two_at_once", "J14", on_tables(
     "SELECT 'origin' AS part, origin AS id, count(*) AS n FROM clean GROUP BY 2 UNION ALL"
     " SELECT 'rider_type', rider_type, count(*) FROM clean GROUP BY 2"))

@@ -220,7 +220,7 @@ def rdd_sum_of_squares(spark, sf_dir):
     WHERE word <> '' GROUP BY 1""")
 def rdd_word_count(spark, sf_dir):
     texts = T.table(spark, sf_dir, "documents").select("text").rdd
-    return P.to_table(P.count_by_key(texts.flatMap(lambda row: row.text.split())), spark, "word string, n bigint")
+    return P.to_table(P.count_by_key(texts.flatMap(lambda row: (row.text or "").split())), spark, "word string, n bigint")
 
 
 @query("rdd_partition_sizes", "K7 K6", on_tables("SELECT 6 AS partitions, count(*) AS row_count FROM log_all"))

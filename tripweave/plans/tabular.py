@@ -94,6 +94,16 @@ def csv_malformed_modes(spark, sf_dir):
     return profile("PERMISSIVE").unionByName(profile("DROPMALFORMED"))
 
 
+@query("csv_failfast", "A6", on_tables(
+    "SELECT 'broken' AS input, count(*) FILTER (destination IS NULL) > 0 AS refused FROM raw"
+    " UNION ALL SELECT 'intact', false"))
+def csv_failfast(spark, sf_dir):
+    inputs = {"broken": "broken_csv", "intact": "trips_csv"}
+    refused = [(name, files.first_parse_error(files.read_trips_ddl(spark, T.staged(spark, sf_dir, kind), mode="FAILFAST"))
+                is not None) for name, kind in inputs.items()]
+    return files.local_table(spark, refused, "input string, refused boolean")
+
+
 @query("text_preview", "A8 B8", on_tables(
     "SELECT DISTINCT strftime(moment, '%Y-%m-%dT%H:%M:%S') || ' ' || station || ' ' || kind || ' velo=' || vehicle_id"
     " AS head FROM log WHERE kind = 'RETRAIT' ORDER BY head LIMIT 3"))
@@ -165,6 +175,22 @@ def range_calendar(spark, sf_dir):
     return R.from_full_key_set(days, per_day, "date", "trips", 0)
 
 
+@query("read_else_rebuild", "A11", on_tables(
+    "SELECT 'rebuilt' AS branch, electric, count(*) AS trips FROM clean GROUP BY 2"
+    " UNION ALL SELECT 'read', electric, count(*) FROM clean WHERE duration_min > 30 GROUP BY 2"))
+def read_else_rebuild(spark, sf_dir):
+    """Both branches, told apart by their rows: the finished output holds the long trips only."""
+    clean, long = T.clean_trips(spark, sf_dir), target(spark, sf_dir, "long_trips")
+    sinks.write_clean(clean.where("duration_min > 30"), long)
+    branches = {"rebuilt": files.load_or_rebuild(spark, target(spark, sf_dir, "never_written"), lambda: clean),
+                "read": files.load_or_rebuild(spark, long, lambda: clean)}
+    counts = [R.count_by(trips, "electric" if "electric" in trips.columns else C.rename_map(
+        C.TRIP_FIELDS, to_external=True)["electric"], alias="trips").toDF("electric", "trips").select(
+        F.lit(name).alias("branch"), F.col("electric").cast("int").alias("electric"), "trips")
+        for name, trips in branches.items()]
+    return counts[0].unionByName(counts[1])
+
+
 @query("partitioned_by_month", "B2", on_tables(
     "SELECT month, count(*) AS trips, round(avg(distance_km), 4) AS mean_km"
     " FROM (SELECT *, strftime(started_at, '%Y-%m') AS month FROM clean) WHERE month = '1997-03' GROUP BY 1"))

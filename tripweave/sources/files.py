@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def first_parse_error(df: DataFrame) -> str | None:
+    """Why a table that is read in FAILFAST mode can't be read; null if all its rows can."""
+    try:
+        df.write.format("noop").mode("overwrite").save()  # every column of every row is parsed
+    except (PySparkException, Py4JJavaError) as e:
+        if "MALFORMED" in str(e):
+            return str(e).splitlines()[0]
+        raise
+    return None
+
+
 def read_json(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """JSON lines; without a schema the types are inferred and timestamps stay text."""
     reader = spark.read.schema(schema) if schema else spark.read

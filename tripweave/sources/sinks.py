@@ -12,9 +12,10 @@ from tripweave.sources import contracts as C
 def write_bounded(df: DataFrame, path: str, max_files: int = 4) -> None:
     """Overwrite a Parquet folder with at most `max_files` files; a smaller number stays as it is.
 
-    The ceiling also bounds the writing tasks, so raise it with the volume.
+    The rows are rebalanced first, so the ceiling bounds the writing tasks only, not those that compute
+    the rows, and files are of one size; raise it with the volume.
     """
-    df.coalesce(max_files).write.mode("overwrite").parquet(path)
+    df.hint("rebalance").coalesce(max_files).write.mode("overwrite").parquet(path)
 
 
 def write_clean(df: DataFrame, path: str, max_files: int | None = None) -> None:

@@ -59,6 +59,14 @@ def to_versions(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
     return _start(writer, df.sparkSession, trigger, width)
 
 
+def to_punctual_and_late(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                         width: int | None = None) -> StreamingQuery:
+    """Rows with a `late` column, appended to the folders `late=false` and `late=true` of one table, exactly once."""
+    writer = df.writeStream.format("parquet").outputMode("append").partitionBy("late").option("path", path).option(
+        "checkpointLocation", checkpoint)
+    return _start(writer, df.sparkSession, trigger, width)
+
+
 def read_versions(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """The last version of each key; without keys, the whole result of the last batch (complete mode)."""
     versions = spark.read.parquet(path)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from tripweave.functions import scalars
 from tripweave.operators.skew import fits_broadcast, salted_join
@@ -76,3 +81,24 @@ def window_bounds(df: DataFrame) -> DataFrame:
                      F.col("window.end").cast("timestamp_ntz").alias("window_end"), *others)
 
 
+
+
+def mark_late(events: DataFrame, ts: str, until: Column, watermark: str, lanes: int) -> DataFrame:
+    """Every row of the stream, with `late`: whether the watermark had reached its `until` when it came.
+
+    With the end of a row's window as `until`, the late rows are those that an aggregation by window leaves out. An
+    aggregation merges rows before it drops them, and reports windows; here single rows are seen, so they can be
+    counted and written aside. `lanes` is the number of groups the rows are dealt to; no state is kept.
+    """
+    dealt = events.withWatermark(ts, watermark).withColumns({
+        "_until": until, "_lane": F.pmod(F.xxhash64(*events.columns), F.lit(lanes)).cast("int")})
+    schema = StructType([StructField("late", BooleanType()), *events.schema.fields])
+
+    def mark(_, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        reached = pd.Timestamp(max(0, state.getCurrentWatermarkMs()), unit="ms")
+        for rows in parts:
+            yield rows.assign(late=rows["_until"] <= reached)[schema.names]
+
+    marked = dealt.groupBy("_lane").applyInPandasWithState(
+        mark, schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    return marked.select(*events.columns, "late")  # rows of their own, which sinks may sort
