@@ -10,8 +10,10 @@ often a piece occurs. Case is folded and runs of white space count as one blank.
 The benchmark is the query set: it is read in blocks of a bounded size, and each block is sent to all
 tasks and held against all documents. Documents are never shuffled.
 
-Defined results: null texts and items, and items under `MIN_CHARS` characters, match nothing; items with
-the same text each match; a document repeated in the table is reported as often as it is there.
+Items under `MIN_CHARS` characters have no budget: they match where they stand unchanged, from the start of a word to
+the end of one.
+
+Defined results: null and blank texts and items match nothing; items with the same text each match; a document repeated in the table is reported as often as it is there.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ CHARS_PER_EDIT = 16
 MIN_CHARS = 25
 #: characters of benchmark text in a block; its automaton takes some 100 bytes for each of them
 BLOCK_CHARS = 500_000
+#: blocks whose automata a task keeps
+HELD = 4
 
 
 def normal(text: str | None) -> str:
@@ -44,7 +48,10 @@ class Pattern:
     """An item, searched in texts by Myers' recurrence; one Python integer holds a column."""
 
     def __init__(self, item: str) -> None:
-        self.length, self.budget = len(item), len(item) // CHARS_PER_EDIT
+        self.length = len(item)
+        # a short item has to stand there as it is, between blanks
+        self.short = self.length < MIN_CHARS
+        self.budget = 0 if self.short else self.length // CHARS_PER_EDIT
         self._masks: dict[str, int] = {}
         for k, c in enumerate(item):
             self._masks[c] = self._masks.get(c, 0) | 1 << k
@@ -72,6 +79,12 @@ class Pattern:
         return best
 
 
+    def stands(self, text: str, start: int) -> bool:
+        """Whether a short item found at `start` begins and ends with words of the text."""
+        end = start + self.length
+        return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
+
+
 class Block:
     """Some of the benchmark's items, ready to be found in texts."""
 
@@ -102,7 +115,9 @@ class Block:
         out = []
         for k in sorted(starts):
             pattern, best = self._patterns[k], None
-            for a, b in _stretches(sorted(starts[k]), pattern):
+            if pattern.short:
+                best = 0 if any(pattern.stands(text, a) for a in starts[k]) else None
+            for a, b in () if pattern.short else _stretches(sorted(starts[k]), pattern):
                 d = pattern.distance(text[max(0, a):b])
                 if d <= pattern.budget and (best is None or d < best):
                     best = d
@@ -134,26 +149,29 @@ def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[lis
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
         block = [(r["item_id"], normal(r["text"])) for r in rows]
-        yield sorted(((i, t) for i, t in block if len(t) >= MIN_CHARS), key=repr)
+        yield sorted(((i, t) for i, t in block if t), key=repr)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, edits, budget): every item that a document holds, with its smallest distance."""
-    out = None
-    for items in blocks(benchmark, block_chars):
-        sent = docs.sparkSession.sparkContext.broadcast(items)
-
-        def rows(batch: dict[str, list], sent=sent, ready: list = []) -> Iterator[tuple]:  # noqa: B006
-            if not ready:  # once for each task
-                ready.append(Block(sent.value))
+    """(doc_id, item_id, edits, budget): every item that a document holds, with its smallest distance.
+
+    The documents are read once. A task keeps the automata of `HELD` blocks and builds those of further blocks
+    anew for each batch of texts, so its memory does not grow with the benchmark.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(list(blocks(benchmark, block_chars)))
+
+    def rows(batch: dict[str, list], held: list = []) -> Iterator[tuple]:  # noqa: B006
+        if not held:  # once for each task
+            held.extend(Block(items) for items in sent.value[:HELD])
+        for k, items in enumerate(sent.value):
+            block = held[k] if k < HELD else Block(items)
             for key, text in zip(batch["id"], batch["text"], strict=True):
-                for item, edits, budget in ready[0].found(text):
+                for item, edits, budget in block.found(text):
                     yield key, item, edits, budget
 
-        part = C.map_rows(docs.select(C.id_of(docs), docs["text"].alias("text")), rows,
-                          "id bigint, item_id bigint, edits int, budget int")
-        out = part if out is None else out.unionByName(part)
-    return out.select(C.true_id("id"), "item_id", "edits", "budget")
+    found = C.map_rows(docs.select(C.id_of(docs), docs["text"].alias("text")), rows,
+                       "id bigint, item_id bigint, edits int, budget int")
+    return found.select(C.true_id("id"), "item_id", "edits", "budget")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:

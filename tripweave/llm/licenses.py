@@ -117,10 +117,11 @@ def base_places(lowered: str) -> tuple[int, list[tuple[int, str]]]:
     found = []
     for phrase, label in BASE:
         wanted = f" {phrase} ".encode()
-        at = joined.find(wanted)
+        at, before, word = joined.find(wanted), 0, 0
         while at >= 0:
-            found.append((joined.count(b" ", 0, at), label))
-            at = joined.find(wanted, at + 1)
+            word += joined.count(b" ", before, at)  # words since the last place
+            found.append((word, label))
+            before, at = at, joined.find(wanted, at + 1)
     return len(words), sorted(found)
 
 

@@ -43,13 +43,14 @@ DECOYS = ("commit", "sha", "sha1", "sha256", "md5", "hash", "checksum", "digest"
           "sample", "test", "dummy", "placeholder", "version")
 _NAME = re.compile(rf"(?:^|[^A-Za-z0-9])(?:\w*[_-])?({'|'.join(map(re.escape, NAMES))})[\"']?\s*(?:=|:|:=|=>)\s*[\"'`]?$",
                    re.I)
-_CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9][A-Za-z0-9+/_.@~=-]{14,510}[A-Za-z0-9=]", re.A)
-#: the value up to its closing quote or a blank; the last group is a value without quotes
-_ASSIGNED = re.compile(rf"(?:{'|'.join(map(re.escape, NAMES))})[\"']?\s*(?::=|=>|=|:)\s*"
-                       r"(?:\"([^\s\"]{8,})|'([^\s']{8,})|`([^\s`]{8,})|([^\s\"'`]{8,}))", re.I)
+_CANDIDATE = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9][A-Za-z0-9+/_.@~=-]{14,}[A-Za-z0-9=]", re.A)
+#: what stands before an assigned value, and what ends the value: its closing quote or a blank
+_ASSIGNED = re.compile(rf"(?:{'|'.join(map(re.escape, NAMES))})[\"']?\s*(?::=|=>|=|:)\s*", re.I)
+_ENDS = {'"': re.compile(r'[\s"]'), "'": re.compile(r"[\s']"), "`": re.compile(r"[\s`]"), "": re.compile(r"[\s\"'`]")}
+SHORTEST = 8
 _KNOWN = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_\w{16,}|"
                     r"AIza[\w-]{35}|eyJ[\w-]+\.eyJ[\w-]+\.[\w-]+|glpat-[\w-]{20}|-----BEGIN .*")
-_ADDRESS = re.compile(r"[^@\s]+@[\w-]+\.[\w.-]+$|(?:\d{1,3}\.){3}\d{1,3}$|https?://")
+_ADDRESS = re.compile(r"[^@\s]@[\w-]+\.[\w.-]+$|(?:\d{1,3}\.){3}\d{1,3}$|https?://")
 FEATURES = ["length", "entropy", "changes", "pair_likelihood", "digits", "upper", "vowels", "hex", "covered",
             "slashes", "dots", "address", "assigned", "named", "decoys", "capitals"]
 
@@ -121,15 +122,38 @@ def candidates(docs: DataFrame, path: str = P.MODEL) -> DataFrame:
                       "features array<double>")
 
 
+def assigned(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, bare) of the values assigned to credential names; bare: without quotes.
+
+    A value may hold assignments itself; then the value of the innermost one counts, which ends the others too.
+    Names that follow one another share the search for the end, so the work is in proportion to the text.
+    """
+    found: list[tuple[int, int, bool]] = []
+    ends: dict[str, tuple[int, int]] = {}
+    for m in _ASSIGNED.finditer(text):
+        quote = text[m.end():m.end() + 1]
+        quote = quote if quote in _ENDS else ""
+        start = m.end() + len(quote)
+        known = ends.get(quote)
+        if known and known[0] <= start <= known[1]:
+            end = known[1]
+        else:
+            stop = _ENDS[quote].search(text, start)
+            end = stop.start() if stop else len(text)
+            ends[quote] = (start, end)
+        if end - start >= SHORTEST:
+            if found and start < found[-1][1]:
+                found.pop()
+            found.append((start, end, not quote))
+    return found
+
+
 def places(text: str) -> list[tuple[int, str]]:
     """(start, value) of all candidates of a text, by start."""
     found = {m.start(): m.group().rstrip(".") for m in _CANDIDATE.finditer(text)}
     strings = list(found)
-    m = _ASSIGNED.search(text)
-    while m:
-        (start, end), value = m.span(m.lastindex), m.group(m.lastindex)
-        bare = m.lastindex == 4
-        m = _ASSIGNED.search(text, start)  # a value may hold assignments itself
+    for start, end, bare in assigned(text):
+        value = text[start:end]
         if bare and len(found.get(start, "")) >= len(value.rstrip(".,;)]}>")):
             continue  # without quotes, marks behind the string belong to the sentence
         for k in strings[bisect_left(strings, start):bisect_left(strings, end)]:
