@@ -449,7 +449,9 @@ def test_pipeline_against_its_stages_by_other_means(spark, sf_dir):
         con.execute("ALTER TABLE later RENAME TO now")
 
     step(quality.SQL, "SELECT now.* FROM now JOIN found USING (doc_id) WHERE kept")
-    step(lines.SQL, "SELECT doc_id, kept_text AS text, lang FROM now JOIN found USING (doc_id)")
+    word = r"'[^\x20\x09-\x0D]'"
+    step(lines.SQL, "SELECT doc_id, kept_text AS text, lang FROM now JOIN found USING (doc_id)"
+                    f" WHERE kept_text = text OR regexp_matches(kept_text, {word})")
     step(jaccard.SQL, "SELECT now.* FROM now JOIN found USING (doc_id) WHERE doc_id = component_id OR n_shingles = 0")
     items = [decontaminate.normal(t) for (t,) in con.execute("SELECT text FROM benchmark").fetchall()]
     block, known = decontaminate.Block(list(enumerate(items))), pieces.load()

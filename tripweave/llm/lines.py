@@ -97,15 +97,22 @@ def without_repeats(docs: DataFrame, divisor: int = DIVISOR, min_lines: int = MI
     from each text (null: none) and the text that is left."""
     df, (spans,) = C.rejoin(docs, removals(docs, divisor, min_lines), "left")
     (kept,) = C.free_names(df, "kept_text_")
-    lines = F.split(df["text"], "\n")
-    inside = lambda i: F.exists(F.col(spans), lambda s: (s["a"] <= i) & (i < s["b"]))
-    left = F.array_join(F.filter(lines, lambda _, i: ~inside(i)), "\n")
+    # what stands between the spans, which are in order and apart; the text is split once
+    begin = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["b"]))
+    end = lambda lines: F.concat(F.transform(spans, lambda s: s["a"]), F.array(F.size(lines)))
+    between = lambda lines: F.zip_with(begin, end(lines), lambda a, b: F.slice(lines, a + 1, b - a))
+    left = F.transform(F.array(F.split(df["text"], "\n")), lambda lines: F.array_join(F.flatten(between(lines)), "\n"))[0]
     return df.withColumn(kept, F.when(F.col(spans).isNull(), df["text"]).otherwise(left)), spans, kept
 
 
-def dedup(docs: DataFrame, **parameters: int) -> DataFrame:
-    """`docs` with the repeated chunks taken out of `text`, and `n_chars` brought up to date if there is one."""
-    df, _, kept = without_repeats(docs, **parameters)
+def dedup(docs: DataFrame, drop_emptied: bool = False, **parameters: int) -> DataFrame:
+    """`docs` with the repeated chunks taken out of `text`, and `n_chars` brought up to date if there is one.
+
+    With `drop_emptied`, rows go whose words have all been taken out; rows that came without words stay.
+    """
+    df, spans, kept = without_repeats(docs, **parameters)
+    if drop_emptied:
+        df = df.where(F.col(spans).isNull() | F.col(kept).rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col(kept), "n_chars": F.length(kept).cast("long")}
     return df.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
 
