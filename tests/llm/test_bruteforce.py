@@ -95,28 +95,68 @@ def test_spans_name_their_source(spark):
         assert mine == words[r["source_id"]][r["source_place"]:r["source_place"] + n]
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_shared_passages(spark, seed):
+def passages(rows: list[tuple[int, str]], size: int = 50) -> set[tuple[int, int, int, int]]:
+    """(document, first word, words, other document), window by window."""
+    same, seen, out = defaultdict(list), defaultdict(set), set()
+    for i, t in rows:
+        if len(w := tuple(t.encode().split())) >= size:
+            same[w].append(i)
+    for w, ids in same.items():
+        first = min(ids)
+        out.update((i, 0, len(w), first) for i in ids if i > first)
+        for p in range(len(w) - size + 1):
+            seen[w[p:p + size]].add(first)
+    for w, ids in same.items():
+        first, open_ = min(ids), None
+        for p in range(len(w) - size + 2):
+            others = (seen[w[p:p + size]] | {max(ids)}) - {first} if p <= len(w) - size else set()
+            other = (min(others) if min(others) < first else max(others)) if others else None
+            if open_ and open_[1] != other:
+                out.add((first, open_[0], p - 1 + size - open_[0], open_[1]))
+                open_ = None
+            if other is not None and open_ is None:
+                open_ = p, other
+    return out
+
+
+def reported(found) -> set[tuple[int, int, int, int]]:
+    got = [tuple(r) for r in found.select("id", "start", (F.col("stop") - F.col("start")).alias("n"), "other").collect()]
+    assert len(got) == len(set(got))
+    return set(got)
+
+
+@pytest.mark.parametrize("seed,tasks", [(4, 1), (4, 64), (5, 5)])
+def test_shared_passages(spark, seed, tasks):
     rows = corpus(seed)
-    found = suffixes.report(spark.createDataFrame(rows, FIELDS).repartition(3)).collect()
-    got = {(r["doc_id"], q) for r in found for q in range(r["first_word"], r["first_word"] + r["n_words"])}
-    assert got and got == in_others(rows, smaller=False)
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        got = reported(suffixes.shared_passages(spark.createDataFrame(rows, FIELDS).repartition(3)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got and got == passages(rows)
+    assert {(i, q) for i, a, n, _ in got for q in range(a, a + n)} == in_others(rows, smaller=False)
 
 
-@pytest.mark.parametrize("copies,tasks,paired", [(20, 3, 32), (60, 1, 32), (60, 5, 32), (20, 5, 1)])
-def test_passages_of_near_copies(spark, copies, tasks, paired, monkeypatch):
+@pytest.mark.parametrize("copies,tasks,paired", [(20, 3, 32), (60, 1, 32), (60, 5, 32), (20, 64, 32), (20, 5, 1)])
+def test_passages_of_near_copies(spark, copies, tasks, paired):
     """The true partner of a passage is often not the nearest one in the order."""
-    monkeypatch.setattr(suffixes, "PAIRED", paired, raising=False)
     rng = random.Random(18)
     words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(400)]
     rows = [(k, " ".join(w if rng.random() > 1 / 40 else f"{w}{rng.randint(0, 9)}" for w in words)) for k in range(copies)]
     spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
     try:
-        found = suffixes.report(spark.createDataFrame(rows, FIELDS)).collect()
+        got = reported(suffixes.shared_passages(spark.createDataFrame(rows, FIELDS), paired=paired))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
-    got = {(r["doc_id"], q) for r in found for q in range(r["first_word"], r["first_word"] + r["n_words"])}
-    assert got == in_others(rows, smaller=False)
+    assert got == passages(rows)
+
+
+def test_touching_passages_stay_apart(spark):
+    rng = random.Random(19)
+    a, b = ([f"{k}{''.join(rng.choices('abcdef', k=5))}" for _ in range(55)] for k in "ab")
+    rows = [(1, " ".join(a + b)), (2, " ".join(["x", *a])), (3, " ".join([*b, "y"]))]
+    got = reported(suffixes.shared_passages(spark.createDataFrame(rows, FIELDS)))
+    assert got == passages(rows) == {(1, 0, 55, 2), (1, 55, 55, 3), (2, 1, 55, 1), (3, 0, 55, 1)}
 
 
 @pytest.mark.parametrize("seed", [6, 7])

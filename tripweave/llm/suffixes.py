@@ -10,11 +10,14 @@ not be the one that shares 50 words, so few suffixes of one run are all compared
 common words to the right and to the left of the place together are the match. Where a run has many, or
 lies at the border of two tasks, every 50-word window around the place gets a 128-bit digest of its word
 codes, as far as the neighbours in the order share enough words to the right, and windows of two documents
-or more are matches. Matches of 50 words or more are reported for both documents, and those of one document
-that overlap are merged, which extends a passage over all its minimisers.
+or more are matches. Every window so found names the other document it was found in: the smallest id among
+those that have it, and for the document of that id itself the largest. The windows of a document that follow
+one another and name the same document are one passage, which extends it over all its minimisers. Equal windows
+have the same minimiser, at which all their documents meet, so the answer does not depend on the partitioning.
 
 The order is a range partitioning with (id, place) as its last key, so any number of equal suffixes is
-spread over tasks. Documents with equal word sequences are one: each is reported whole.
+spread over tasks. Documents with equal word sequences are one, the first, which is compared with the others;
+each later one is reported whole, with the first.
 
 Defined results: null and blank texts and texts under 50 words have no passage; repeats within one
 document, and rows that share an id, are not reported; null ids come last and come out null.
@@ -24,10 +27,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.llm import common as C
@@ -37,7 +41,8 @@ RUN = 8
 _FIELDS = ["run", "after", "before", "id", "th", "place"]
 _SUFFIX = "run bigint, after binary, before binary, id bigint, th int, place int"
 _FOUND = "id bigint, th int, start int, stop int, other bigint, window binary"
-#: runs with up to so many suffixes are compared pair by pair in their task; others by the digests of their windows
+#: runs with up to so many suffixes are compared pair by pair in their task; others by the digests of their
+#: windows, with the same result
 PAIRED = 32
 
 
@@ -90,21 +95,25 @@ def _common(a: bytes, b: bytes) -> int:
 
 
 def _paired(rows: list[tuple], length: int) -> Iterator[tuple]:
-    """Every suffix of one run against every other: what it shares with other documents, as one span."""
-    spans: dict[int, list[int]] = {}
-    for j, b in enumerate(rows):
-        for i in range(j):
-            a = rows[i]
-            if a[3] == b[3]:
+    """Every suffix of one run against every other: spans of windows shared, each with the other document it names."""
+    rows = sorted(rows, key=lambda row: row[3], reverse=True)
+    named: list[list] = [[None] * (length + 1) for _ in rows]  # by the words of the window that stand before the place
+    for i, low in enumerate(rows):
+        for j, high in enumerate(rows[:i]):
+            if low[3] == high[3]:
                 continue
-            right, left = _common(a[1], b[1]), _common(a[2], b[2])
-            if right + left >= length:
-                for k, mine, other in ((i, a, b[3]), (j, b, a[3])):
-                    start, stop = mine[5] - left, mine[5] + right
-                    known = spans.setdefault(k, [start, stop, other])
-                    known[:] = min(known[0], start), max(known[1], stop), min(known[2], other)
-    for k, (start, stop, other) in spans.items():
-        yield rows[k][3], rows[k][4], start, stop, other, None
+            right, left = _common(low[1], high[1]), _common(low[2], high[2])
+            for before in range(max(0, length - right), left + 1):
+                named[j][before] = low[3]  # ids fall: the smallest stays
+                if named[i][before] is None:
+                    named[i][before] = high[3]  # the largest, unless a smaller one than its own follows
+    for row, others in zip(rows, named, strict=True):
+        before = 0
+        for other, same in groupby(others):
+            n = len(list(same))
+            if other is not None:
+                yield row[3], row[4], row[5] - before - n + 1, row[5] - before + length, other, None
+            before += n
 
 
 def _windows(row: tuple, right: int, length: int) -> Iterator[tuple]:
@@ -119,7 +128,7 @@ def _windows(row: tuple, right: int, length: int) -> Iterator[tuple]:
             yield row[3], row[4], row[5] - before, row[5] - before + length, None, digest
 
 
-def _groups(rows: Iterator[tuple], length: int) -> Iterator[tuple]:
+def _groups(rows: Iterator[tuple], length: int, paired: int) -> Iterator[tuple]:
     """Spans and windows of a task's suffixes. The task's first and last run may go on in other tasks."""
     held: list[tuple] = []  # the rows of a run, as long as they are few
     many: _Many | None = None
@@ -138,7 +147,7 @@ def _groups(rows: Iterator[tuple], length: int) -> Iterator[tuple]:
             held[:] = [row]
             continue
         held.append(row)
-        if len(held) > PAIRED:
+        if len(held) > paired:
             many = _Many(length, None if first else 0)
             for earlier in held:
                 yield from many.add(earlier)
@@ -179,7 +188,7 @@ class _Many:
         self.document = []
 
 
-def compared(found: DataFrame, length: int = LENGTH) -> DataFrame:
+def compared(found: DataFrame, length: int = LENGTH, paired: int = PAIRED) -> DataFrame:
     """(id, th, start, stop, other, window): passages found within a task (window is null), and the windows
     whose partners may be anywhere among many suffixes or in another task."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +197,7 @@ def compared(found: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield from zip(*(batch.column(c).to_pylist() for c in _FIELDS), strict=True)
 
         made = []
-        for out in _groups(rows(), length):
+        for out in _groups(rows(), length, paired):
             made.append(out)
             if len(made) >= 10_000:
                 yield _found(made)
@@ -197,12 +206,16 @@ def compared(found: DataFrame, length: int = LENGTH) -> DataFrame:
             yield _found(made)
 
     by = ["run", "after", "before", "id", "place"]
-    return found.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(compare, _FOUND)
+    conf = found.sparkSession.conf
+    # named, so that tasks are not merged by bytes: the cost is in the comparison
+    tasks = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+                or conf.get("spark.sql.shuffle.partitions"))
+    return found.repartitionByRange(tasks, *by).sortWithinPartitions(*by).mapInArrow(compare, _FOUND)
 
 
-def matches(found: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, th, start, stop, other): the passages that suffixes of different documents share."""
-    made = C.written(compared(found, length), "suffix-matches")
+def matches(found: DataFrame, length: int = LENGTH, paired: int = PAIRED) -> DataFrame:
+    """(id, th, start, stop, other): spans whose windows of `length` words another document has."""
+    made = C.written(compared(found, length, paired), "suffix-matches")
     windows = made.where("window IS NOT NULL")
     several = windows.groupBy("window").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     # a table of its own: the partitions of the join can then be split where a window is in many documents
@@ -219,10 +232,11 @@ def _found(rows: list[tuple]) -> pa.RecordBatch:
         names=["id", "th", "start", "stop", "other", "window"])
 
 
-def shared_passages(docs: DataFrame, length: int = LENGTH, run: int = RUN) -> DataFrame:
-    """(id, th, start, stop, other): the passages of each document that another one has, overlapping ones merged.
+def shared_passages(docs: DataFrame, length: int = LENGTH, run: int = RUN, paired: int = PAIRED) -> DataFrame:
+    """(id, th, start, stop, other): the passages of each document that another one has.
 
-    Words `start` to `stop - 1`; other: the smallest id among the neighbours it was found with.
+    Words `start` to `stop - 1`: as many as lie in windows one word apart that name the same other document. A
+    passage overlaps the next one, in less than a window, where the document that they name changes.
     """
     known = C.written(sketches(docs, length, run), "suffix-sketches")
     same = known.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("final"))
@@ -235,16 +249,35 @@ def shared_passages(docs: DataFrame, length: int = LENGTH, run: int = RUN) -> Da
     several = C.written(several, "suffix-runs")
     shared = runs.join(several, "run").groupBy("id", "th").agg(F.collect_set("run").alias("runs"))
     found = C.written(suffixes(docs, shared, length, run).distinct(), "suffixes")
-    return _merged(matches(found, length).unionByName(whole))
+    return _merged(matches(found, length, paired).unionByName(whole), length)
 
 
-def _merged(spans: DataFrame) -> DataFrame:
-    along = Window.partitionBy("id", "th").orderBy("start", F.desc("stop"))
-    reach = F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")
-    parts = spans.withColumn("fresh", fresh).withColumn("part", F.sum("fresh").over(along))
-    return parts.groupBy("id", "th", "part").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("other").alias("other")).drop("part")
+def _merged(spans: DataFrame, length: int) -> DataFrame:
+    """Spans of one document as passages: its windows decide on one other document, runs of equal decisions stay."""
+    fields = ["start", "stop", "other"]
+    lists = spans.groupBy("id", "th").agg(F.collect_list(F.struct(*fields)).alias("spans")).select(
+        "id", "th", *(F.col(f"spans.{c}").alias(c) for c in fields))
+
+    def rows(batch: dict[str, list]) -> Iterator[tuple]:
+        for key, th, *found in zip(*(batch[c] for c in ["id", "th", *fields]), strict=True):
+            for passage in _passages(key, list(zip(*found, strict=True)), length):
+                yield key, th, *passage
+
+    return C.map_rows(lists, rows, "id bigint, th int, start int, stop int, other bigint")
+
+
+def _passages(key: int, spans: list[tuple[int, int, int]], length: int) -> Iterator[tuple[int, int, int]]:
+    """(start, stop, other) of the stretches of windows for which the same id is best: the smallest below
+    the document's own, or else the largest."""
+    ids = sorted({other for _, _, other in spans}, key=lambda other: (other < key, -other if other < key else other))
+    rank = {other: k for k, other in enumerate(ids, 1)}
+    best = np.zeros(max(stop for _, stop, _ in spans) - length + 2, dtype=np.int64)
+    for start, stop, other in sorted(spans, key=lambda span: rank[span[2]]):
+        best[start:stop - length + 1] = rank[other]  # better ones come later
+    edges = np.flatnonzero(np.diff(best, prepend=0)).tolist()
+    for start, end in zip(edges, edges[1:], strict=False):
+        if best[start]:
+            yield start, end - 1 + length, ids[best[start] - 1]
 
 
 def report(docs: DataFrame) -> DataFrame:
