@@ -31,6 +31,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -258,26 +259,35 @@ def _merged(spans: DataFrame, length: int) -> DataFrame:
     lists = spans.groupBy("id", "th").agg(F.collect_list(F.struct(*fields)).alias("spans")).select(
         "id", "th", *(F.col(f"spans.{c}").alias(c) for c in fields))
 
-    def rows(batch: dict[str, list]) -> Iterator[tuple]:
-        for key, th, *found in zip(*(batch[c] for c in ["id", "th", *fields]), strict=True):
-            for passage in _passages(key, list(zip(*found, strict=True)), length):
-                yield key, th, *passage
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.small_batches(batches):
+            ends = np.cumsum(pc.list_value_length(batch.column("start")).to_numpy())
+            flat = [np.split(batch.column(c).flatten().to_numpy(), ends[:-1]) for c in fields]
+            made = [(key, th, *passage, None) for key, th, *found in zip(
+                        batch.column("id").to_pylist(), batch.column("th").to_pylist(), *flat, strict=True)
+                    for passage in _passages(key, *found, length)]
+            if made:
+                yield _found(made)
 
-    return C.map_rows(lists, rows, "id bigint, th int, start int, stop int, other bigint")
+    return lists.mapInArrow(merge, _FOUND).drop("window")
 
 
-def _passages(key: int, spans: list[tuple[int, int, int]], length: int) -> Iterator[tuple[int, int, int]]:
+def _passages(key: int, start: np.ndarray, stop: np.ndarray, other: np.ndarray,
+              length: int) -> Iterator[tuple[int, int, int]]:
     """(start, stop, other) of the stretches of windows for which the same id is best: the smallest below
     the document's own, or else the largest."""
-    ids = sorted({other for _, _, other in spans}, key=lambda other: (other < key, -other if other < key else other))
-    rank = {other: k for k, other in enumerate(ids, 1)}
-    best = np.zeros(max(stop for _, stop, _ in spans) - length + 2, dtype=np.int64)
-    for start, stop, other in sorted(spans, key=lambda span: rank[span[2]]):
-        best[start:stop - length + 1] = rank[other]  # better ones come later
+    ids, which = np.unique(other, return_inverse=True)
+    below = int(np.searchsorted(ids, key))
+    ids = np.concatenate([ids[below:], ids[:below][::-1]])  # better ones later
+    rank = np.concatenate([np.arange(below)[::-1] + len(ids) - below, np.arange(len(ids) - below)])[which] + 1
+    count = stop - start - length + 1
+    windows = np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
+    best = np.zeros(int(windows.max()) + 2, dtype=np.int64)
+    np.maximum.at(best, windows, np.repeat(rank, count))
     edges = np.flatnonzero(np.diff(best, prepend=0)).tolist()
-    for start, end in zip(edges, edges[1:], strict=False):
-        if best[start]:
-            yield start, end - 1 + length, ids[best[start] - 1]
+    for begin, end in zip(edges, edges[1:], strict=False):
+        if best[begin]:
+            yield begin, end - 1 + length, int(ids[best[begin] - 1])
 
 
 def report(docs: DataFrame) -> DataFrame:
