@@ -228,3 +228,21 @@ def test_rebase_keeps_the_duration(spark):
     trip = spark.createDataFrame([("T1", 7.5)], "trip_id string, duration_min double")
     moved = sources.rebase(trip, F.to_timestamp(F.lit("2026-03-02 08:00:00"))).first()
     assert (moved["ended_at"] - moved["started_at"]).total_seconds() == 450
+
+
+def test_versions_are_compacted_and_unfinished_folders_are_not_read(spark, tmp_path):
+    landing_, out = str(tmp_path / "numbers"), tmp_path / "out"
+    spark.range(90).select((F.col("id") % 7).alias("k")).repartition(9).write.json(landing_)
+    stream = spark.readStream.schema("k long").option("maxFilesPerTrigger", 1).json(landing_)
+    progress.finish(sinks.to_versions(stream.groupBy("k").agg(F.count("*").alias("n")), str(out),
+                                      str(tmp_path / "checkpoint"), keys=("k",), compact_every=2))
+    want = [(k, len(range(k, 90, 7))) for k in range(7)]
+    assert sorted(tuple(r) for r in sinks.read_versions(spark, str(out), "k").collect()) == want
+    # of nine batches the last compacted folder holds eight; the one before it and what followed it are kept
+    assert sorted(p.name for p in out.iterdir()) == ["batch_id=6", "batch_id=7", "batch_id=8", "upto=5", "upto=7"]
+    spark.createDataFrame([(0, 999)], "k long, n long").write.parquet(str(out / "batch_id=9"))
+    (out / "batch_id=9" / "_SUCCESS").unlink()
+    assert sorted(tuple(r) for r in sinks.read_versions(spark, str(out), "k").collect()) == want
+    assert sinks.read_versions(spark, str(out)).columns == ["k", "n"]
+    with pytest.raises(ValueError, match="no finished batch"):
+        sinks.read_versions(spark, str(tmp_path / "nothing"), "k")

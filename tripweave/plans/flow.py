@@ -29,7 +29,7 @@ def events(spark, sf_dir):
 
 def versions(spark, df, *keys, mode="update"):
     folder = run_folder(spark)
-    progress.finish(sinks.to_versions(df, f"{folder}/out", f"{folder}/checkpoint", mode))
+    progress.finish(sinks.to_versions(df, f"{folder}/out", f"{folder}/checkpoint", mode, keys=keys))
     return sinks.read_versions(spark, f"{folder}/out", *keys)
 
 

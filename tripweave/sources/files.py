@@ -108,6 +108,17 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def finished_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """The numbers of the folders `<prefix>=<number>` under a path whose writes have finished."""
+    fs, pattern = hadoop_path(spark, f"{path}/{prefix}=*/_SUCCESS")
+    return sorted(int(found.getPath().getParent().getName().split("=")[1]) for found in fs.globStatus(pattern) or [])
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
 def load_or_rebuild(spark: SparkSession, path: str, rebuild: Callable[[], DataFrame]) -> DataFrame:
     """Read a finished Parquet output, else rebuild the table from its source."""
     return spark.read.parquet(path) if is_complete(spark, path) else rebuild()

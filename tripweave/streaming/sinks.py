@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tripweave.operators.relational import latest_version
 from tripweave.session import STATE_WIDTH, shuffle_width
+from tripweave.sources import files
 
 ONCE = {"availableNow": True}
 
@@ -46,19 +47,53 @@ def to_csv_batches(df: DataFrame, path: str, checkpoint: str, mode: str = "updat
 
 
 def to_versions(df: DataFrame, path: str, checkpoint: str, mode: str = "update", trigger: dict | None = None,
-                width: int | None = None) -> StreamingQuery:
+                width: int | None = None, keys: tuple[str, ...] = (), compact_every: int = 20) -> StreamingQuery:
     """Results of a stateful query, one Parquet folder per batch: successive versions of its rows.
 
     This is what the memory sink holds in update mode, but on shared storage and with the batch
-    number that tells which version is newer.
+    number that tells which version is newer. The marker that Spark writes last is a batch's record; folders
+    without it are not read. With `keys`, every `compact_every` batches the newest version of each key
+    becomes one folder, and folders that an earlier one already stood for are removed, so that neither
+    reading nor listing grows with the number of batches.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if keys and (batch_id + 1) % compact_every == 0:
+            _compact(batch.sparkSession, path, list(keys), batch_id)
 
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _start(writer, df.sparkSession, trigger, width)
 
 
+def _compact(spark: SparkSession, path: str, keys: list[str], upto: int) -> None:
+    """Writes the newest versions up to a batch. A batch that runs again writes the same."""
+    versions = _versions(spark, path, upto)
+    numbered = versions.withColumn("newest", F.col("batch_id"))
+    latest_version(numbered, keys, "newest").write.mode("overwrite").parquet(f"{path}/upto={upto}")
+    earlier = [n for n in files.finished_folders(spark, path, "upto") if n < upto]
+    # readers that listed the folders before this one was there still need the last one and what followed it
+    for prefix, last in (("upto", max(earlier, default=-1) - 1), ("batch_id", max(earlier, default=-1))):
+        for n in files.finished_folders(spark, path, prefix):
+            if n <= last:
+                files.remove_folder(spark, f"{path}/{prefix}={n}")
+
+
+def _versions(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The last compacted folder and the finished batches after it; for a compaction, what is before it."""
+    compacted = [n for n in files.finished_folders(spark, path, "upto") if upto is None or n < upto]
+    last = max(compacted, default=-1)
+    batches = [n for n in files.finished_folders(spark, path, "batch_id") if n > last and (upto is None or n <= upto)]
+    if not batches and last < 0:
+        raise ValueError(f"no finished batch in {path}")
+    parts = []
+    if batches:
+        read = spark.read.option("basePath", path).parquet(*(f"{path}/batch_id={n}" for n in batches))
+        parts.append(read.withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    if last >= 0:
+        parts.append(spark.read.parquet(f"{path}/upto={last}"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def to_punctual_and_late(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                          width: int | None = None) -> StreamingQuery:
     """Rows with a `late` column, appended to the folders `late=false` and `late=true` of one table, exactly once."""
@@ -69,8 +104,9 @@ def to_punctual_and_late(df: DataFrame, path: str, checkpoint: str, trigger: dic
 
 def read_versions(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     """The last version of each key; without keys, the whole result of the last batch (complete mode)."""
-    versions = spark.read.parquet(path)
     if not keys:
-        newest = versions.agg(F.max("batch_id")).first()[0]
-        return versions.where(F.col("batch_id") == newest).drop("batch_id")
-    return latest_version(versions, list(keys), "batch_id")
+        batches = files.finished_folders(spark, path, "batch_id")
+        if not batches:
+            raise ValueError(f"no finished batch in {path}")
+        return spark.read.parquet(f"{path}/batch_id={batches[-1]}")
+    return latest_version(_versions(spark, path), list(keys), "batch_id")
