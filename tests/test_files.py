@@ -4,7 +4,7 @@ import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from tripweave.session import scratch_path, shared_dir
+from tripweave.session import scratch_path, shared_dir, split_size
 from tripweave.sources import contracts as C
 from tripweave.sources import files, sinks, tables as T
 
@@ -124,3 +124,39 @@ def test_shared_dir_is_the_configured_one(spark):
 def test_range_smoke(spark):
     assert spark.range(1_000_000).agg(F.sum("id")).first()[0] == 499_999_500_000
     assert spark.range(1, 101).agg(F.sum(F.col("id") * F.col("id"))).first()[0] == 338_350
+
+
+def test_staged_log_is_compressed_and_in_order_without_a_shuffle(spark, sf_dir):
+    stages = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("staged-log", "staged log")
+    try:
+        path = T.staged(spark, sf_dir + "/.", "log")  # a name of its own, so it is written here
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    jobs = stages.getJobIdsForGroup("staged-log")
+    assert jobs and all(len(stages.getJobInfo(job).stageIds) == 1 for job in jobs)
+    found = files.read_lines(spark, path).select(F.input_file_name().alias("file"), "value").collect()
+    assert found and all(r["file"].endswith(".txt.gz") for r in found)
+    by_file = {}
+    for r in found:
+        by_file.setdefault(r["file"], []).append(r["value"][:19])
+    whole = [[ts for ts in times if len(ts) == 19] for times in by_file.values()]
+    assert all(times == sorted(times) for times in whole)
+    assert len(found) == T.log_lines(spark, sf_dir).count()
+
+
+def test_ordered_lines_keep_one_order_over_all_files(spark, tmp_path):
+    lines = spark.range(100).select((99 - F.col("id")).alias("at"), F.format_string("%03d", 99 - F.col("id")).alias("value"))
+    sinks.write_ordered_lines(lines.repartition(5), str(tmp_path / "log"), by="at")
+    written = [line for p in sorted((tmp_path / "log").glob("part-*")) for line in p.read_text().split()]
+    assert written == [f"{i:03d}" for i in range(100)]
+
+
+def test_split_size_only_lowers(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with split_size(spark, 1 << 20):
+        assert spark.conf.get(name) == str(1 << 20)
+        with split_size(spark, 1 << 30):
+            assert spark.conf.get(name) == str(1 << 20)
+    assert spark.conf.get(name) == before

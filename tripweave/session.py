@@ -90,6 +90,21 @@ def shuffle_width(spark: SparkSession, partitions: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+@contextmanager
+def split_size(spark: SparkSession, size: int):
+    """Read files in pieces of at most `size` bytes in what is run inside the block; smaller settings stay.
+
+    For steps whose rows are much larger than in the file they come from: a task's memory follows its rows.
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(size, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: state partitions of a stream where the caller names no number: fixed for the life of its checkpoint,
 #: so a stream that is to grow should be started with the width of the cluster it will run on
 STATE_WIDTH = 8

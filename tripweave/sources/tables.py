@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import logs, scalars
 from tripweave.operators import cleaning
-from tripweave.session import scratch_path, source_tag
+from tripweave.session import scratch_path, source_tag, split_size
 from tripweave.sources import contracts as C
 from tripweave.sources import files, sinks
 
+SPLIT_BYTES = 8 << 20  # about half a million shipment lines, which are two to four hundred bytes each once they are trips
 PARTS_PER_DOCK = 20  # the star schema has twenty parts per supplier at every scale
 
 
@@ -135,8 +136,13 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """Path of a derived copy in the shared folder, written at the first call of an application."""
     path = scratch_path(spark, source_tag(sf_dir), kind)
-    if files.is_complete(spark, path):
-        return path
+    if not files.is_complete(spark, path):
+        with split_size(spark, SPLIT_BYTES):
+            _stage(spark, sf_dir, kind, path)
+    return path
+
+
+def _stage(spark: SparkSession, sf_dir: str, kind: str, path: str) -> None:
     external = C.rename_map(C.TRIP_FIELDS, to_external=True)
     if kind == "clean":
         cleaning.clean_trips(raw_trips(spark, sf_dir)).write.mode("overwrite").parquet(path)
@@ -154,9 +160,8 @@ def staged(spark: SparkSession, sf_dir: str, kind: str) -> str:
     elif kind == "clean_json":
         sinks.write_json(clean_trips(spark, sf_dir).select(TRIP_COLUMNS).withColumnsRenamed(external), path)
     elif kind == "log":
-        sinks.write_ordered_lines(log_lines(spark, sf_dir), path, by="at")
+        sinks.write_log(log_lines(spark, sf_dir), path, by="at")
     elif kind == "months":
         sinks.write_by_month(clean_trips(spark, sf_dir), path)
     else:
         raise KeyError(kind)
-    return path
