@@ -152,6 +152,15 @@ def test_ordered_lines_keep_one_order_over_all_files(spark, tmp_path):
     assert written == [f"{i:03d}" for i in range(100)]
 
 
+def test_staged_json_is_compressed_and_needs_no_cleaned_copy(spark, sf_dir):
+    folder = sf_dir + "/./."
+    path = T.staged(spark, folder, "clean_json")
+    assert not files.path_exists(spark, path.replace("clean_json", "clean"))
+    stored = spark.read.schema(C.ddl(C.TRIP_FIELDS)).option("timestampFormat", C.TIMESTAMP_FORMAT).json(path)
+    assert all(f.endswith(".json.gz") for f in stored.inputFiles())
+    assert stored.count() == T.clean_trips(spark, sf_dir).count()
+
+
 def test_split_size_only_lowers(spark):
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)

@@ -158,7 +158,10 @@ def _stage(spark: SparkSession, sf_dir: str, kind: str, path: str) -> None:
         bad = F.when(F.col("destination").isNull(), "N/A").otherwise(F.col("duration_min").cast("string"))
         sinks.write_csv(trips.withColumn("duration_min", bad).withColumnsRenamed(external), path)
     elif kind == "clean_json":
-        sinks.write_json(clean_trips(spark, sf_dir).select(TRIP_COLUMNS).withColumnsRenamed(external), path)
+        # a cleaned copy is read if there is one, but none is written for this
+        trips = files.load_or_rebuild(spark, scratch_path(spark, source_tag(sf_dir), "clean"),
+                                      lambda: cleaning.clean_trips(raw_trips(spark, sf_dir)))
+        sinks.write_json(trips.select(TRIP_COLUMNS).withColumnsRenamed(external), path)
     elif kind == "log":
         sinks.write_log(log_lines(spark, sf_dir), path, by="at")
     elif kind == "months":

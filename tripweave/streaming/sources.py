@@ -55,7 +55,7 @@ def land_json(batch: DataFrame, landing: str, name: str) -> None:
     sinks.write_json(batch, hidden)
     fs, folder = files.hadoop_path(spark, hidden)
     for i, status in enumerate(fs.globStatus(files.hadoop_path(spark, f"{hidden}/part-*")[1])):
-        target = files.hadoop_path(spark, f"{landing}/{name}-{i:05d}.json")[1]
+        target = files.hadoop_path(spark, f"{landing}/{name}-{i:05d}.json.gz")[1]
         if not fs.rename(status.getPath(), target):
             raise OSError(f"could not publish {target.toString()}")
     fs.delete(folder, True)
