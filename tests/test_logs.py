@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import re
+from functools import partial
 
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from tripweave.functions import logs as L, scalars
@@ -107,6 +108,25 @@ def test_sequence_checks(spark):
     assert rows(O.deposits_out_of_turn(events)) == [("V1", 2, 1), ("V2", 3, 2), ("V3", 2, 2), ("V4", 0, 0)]
 
 
+def test_sequence_checks_shuffle_the_events_once_or_not_at_all(spark):
+    events = moves(spark, *[(f"V{i % 7}", C.PICKUP if i % 3 else C.DEPOSIT, f"{1 + i % 5:02d}T08:{i % 60:02d}:00")
+                            for i in range(300)])
+    spread = O.deposits_without_pickup(events)
+    assert "Window" not in plan_of(spread)
+    plan = plan_of(O.deposits_out_of_turn(events)).split("== Physical Plan ==")[1]
+    assert plan.count("Scan") == 1 and "Join" not in plan
+
+
+def test_first_pickup_of_vehicles_with_most_deposits(spark, monkeypatch):
+    events = moves(spark, *[("V1", C.DEPOSIT, f"01T08:00:{i % 60:02d}") for i in range(200)],
+                   ("V1", C.PICKUP, "01T08:00:30"), ("V2", C.DEPOSIT, "01T07:00:00"), ("V2", C.DEPOSIT, "01T09:00:00"),
+                   ("V2", C.PICKUP, "01T08:00:00"))
+    expected = [("V1", 200, sum(i % 60 <= 30 for i in range(200))), ("V2", 2, 1)]
+    assert rows(O.deposits_without_pickup(events)) == expected
+    monkeypatch.setattr(O, "lookup_join", partial(O.lookup_join, small=False))
+    assert rows(O.deposits_without_pickup(events)) == expected
+
+
 PHRASES = ["le vélo part de la gare", "le vélo arrive à la gare", "la borne de la gare est en panne"]
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.functions import logs
-from tripweave.operators.skew import previous_value
+from tripweave.operators.skew import HOT_SHARES, lookup_join
+from tripweave.session import cut_lineage
 from tripweave.sources import contracts as C
 
 
@@ -44,47 +45,47 @@ def vehicles_picked_up(events: DataFrame) -> DataFrame:
 
 
 def _moves(events: DataFrame) -> DataFrame:
-    """Pickups and deposits collapsed to one row per vehicle, second and kind.
-
-    What follows groups by vehicle and day, so no group has more than 172,800 rows however many
-    events a vehicle has.
-    """
-    moves = events.where(F.col("kind").isin(C.PICKUP, C.DEPOSIT)).select(
-        logs.field("velo").alias("vehicle_id"), "ts", "kind")
-    return moves.groupBy("vehicle_id", "ts", "kind").agg(F.count("*").alias("n")).withColumn(
-        "day", F.substring("ts", 1, 10))
+    """Pickups and deposits by vehicle: `pickup` is true or false."""
+    return events.where(F.col("kind").isin(C.PICKUP, C.DEPOSIT)).select(
+        logs.field("velo").alias("vehicle_id"), "ts", (F.col("kind") == C.PICKUP).alias("pickup"))
 
 
 def deposits_without_pickup(events: DataFrame) -> DataFrame:
     """Per vehicle: deposits, and those with no pickup of the vehicle before them.
 
-    These are the deposits up to the vehicle's first pickup: all of the days before the one
-    that holds it, and the early ones of that day.
+    These are the deposits up to the vehicle's first pickup. First pickups are found by a grouping that combines
+    before it is shuffled; deposits are then held against them, those of vehicles with very many spread over tasks.
     """
-    moves, is_pickup = _moves(events), F.col("kind") == C.PICKUP
-    in_day = Window.partitionBy("vehicle_id", "day")
-    first_here = F.min(F.when(is_pickup, F.col("ts"))).over(in_day)
-    early = ~is_pickup & (first_here.isNull() | (F.col("ts") <= first_here))
-    days = (moves.withColumn("early", F.when(early, F.col("n")).otherwise(0))
-             .groupBy("vehicle_id", "day").agg(
-                 F.sum(F.when(is_pickup, 0).otherwise(F.col("n"))).alias("deposits"), F.sum("early").alias("early"),
-                 F.max(is_pickup).alias("has_pickup")))
-    first_day = F.min(F.when(F.col("has_pickup"), F.col("day"))).over(Window.partitionBy("vehicle_id"))
-    orphans = F.when(first_day.isNull() | (F.col("day") <= first_day), F.col("early")).otherwise(0)
-    return (days.withColumn("orphans", orphans).groupBy("vehicle_id")
-            .agg(F.sum("deposits").alias("deposits"), F.sum("orphans").alias("orphans"))
-            .where("deposits > 0"))
+    moves = _moves(events).withColumn("_key", F.struct("vehicle_id"))  # vehicles that are null meet like any other
+    vehicles = cut_lineage(moves.groupBy("_key").agg(
+        F.min(F.when(F.col("pickup"), F.col("ts"))).alias("first_pickup"), F.count_if(~F.col("pickup")).alias("deposits"))
+        .where("deposits > 0"))
+    total = vehicles.agg(F.sum("deposits")).first()[0] or 0
+    early = (lookup_join(moves.where(~F.col("pickup")).select("_key", "ts"),
+                         vehicles.where("first_pickup IS NOT NULL").select("_key", "first_pickup"), "_key",
+                         hot=vehicles.where(F.col("deposits") > total / HOT_SHARES).select("_key"))
+             .where("ts <= first_pickup").groupBy("_key").agg(F.count("*").alias("early")))
+    orphans = F.when(F.col("first_pickup").isNull(), F.col("deposits")).otherwise(F.coalesce("early", F.lit(0)))
+    return vehicles.join(early, "_key", "left").select("_key.vehicle_id", "deposits", orphans.alias("orphans"))
 
 
 def deposits_out_of_turn(events: DataFrame) -> DataFrame:
     """The strict form: deposits whose vehicle's preceding event is not a pickup.
 
     At equal times a deposit counts before a pickup, and of several deposits at one time only
-    the first can follow a pickup.
+    the first can follow a pickup. Events are collapsed to one row per vehicle, second and kind and then
+    looked at by vehicle and day, so no group has more than 172,800 rows however many events a vehicle has;
+    days hand on their last event only.
     """
-    turns = previous_value(_moves(events), "vehicle_id", [F.col("ts"), F.col("kind")], "kind", chunk=F.col("day"))
-    repeated = F.col("n") - F.when(F.col("previous") == C.PICKUP, 1).otherwise(0)
-    is_deposit = F.col("kind") == C.DEPOSIT
-    return turns.groupBy("vehicle_id").agg(
-        F.sum(F.when(is_deposit, F.col("n")).otherwise(0)).alias("deposits"),
-        F.sum(F.when(is_deposit, repeated).otherwise(0)).alias("out_of_turn"))
+    rows = _moves(events).groupBy("vehicle_id", "ts", "pickup").agg(F.count("*").alias("n")).withColumn(
+        "day", F.substring("ts", 1, 10))
+    in_day, order = Window.partitionBy("vehicle_id", "day"), F.struct("ts", "pickup")
+    looked = rows.withColumn("previous", F.lag("pickup").over(in_day.orderBy("ts", "pickup")))
+    days = looked.groupBy("vehicle_id", "day").agg(
+        F.sum(F.when(F.col("pickup"), 0).otherwise(F.col("n"))).alias("deposits"),
+        F.count_if(~F.col("pickup") & F.col("previous")).alias("in_turn"),
+        F.min_by("pickup", order).alias("first"), F.max_by("pickup", order).alias("last"))
+    before = F.lag("last").over(Window.partitionBy("vehicle_id").orderBy("day"))
+    handed = days.withColumn("in_turn", F.col("in_turn") + F.coalesce((~F.col("first") & before).cast("int"), F.lit(0)))
+    return handed.groupBy("vehicle_id").agg(
+        F.sum("deposits").alias("deposits"), F.sum(F.col("deposits") - F.col("in_turn")).alias("out_of_turn"))
