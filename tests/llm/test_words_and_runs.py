@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripweave.llm import classifier, periods, spellings
+from tripweave.llm import classifier, debruijn, periods, spellings
 
 FIELDS = "doc_id bigint, text string"
 ODD = ("doc_id bigint, text string, id string, word string, n string, run string, th int, hash string, label double, "
@@ -252,3 +252,13 @@ def test_collapsed_texts(spark):
     assert got.columns == odd(spark, texts).columns
     assert [(r["doc_id"], r["text"]) for r in got.orderBy("doc_id").collect()] == [
         (1, "so it goes on and until it ends"), (2, "no  run\nhere"), (3, None), (3, None)]
+
+
+def test_spots_hold_text_hash_and_place_in_their_order(spark):
+    pairs = [(th, place) for th in (-2**31, -5, 0, 7, 2**31 - 1) for place in (0, 1, 2**31 - 1)]
+    made = spark.createDataFrame([((th << 32) | place,) for th, place in pairs], "spot bigint").orderBy("spot")
+    assert [tuple(r) for r in made.select(debruijn._th_of("spot"), debruijn._place_of("spot")).collect()] == pairs
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60))), (2, " ".join(f"w{i}" for i in range(5, 60)))],
+                                 "doc_id bigint, text string")
+    found = debruijn.without_repeats(docs).select("id", "n_removed").collect()
+    assert sorted(tuple(r) for r in found) == [(1, 0), (2, 55)]

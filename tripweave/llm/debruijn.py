@@ -23,7 +23,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.llm import common as C
@@ -73,7 +73,10 @@ def sketches(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Dat
 
 
 def edges(docs: DataFrame, nominated: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(id, th, place, u, v, bytes): the windows at the nominated anchors, as edges from node u to node v."""
+    """(id, spot, u, v, bytes): the windows at the nominated anchors, as edges from node u to node v.
+
+    `spot` holds th and place in one number, which sorts like both: most windows are shuffled twice.
+    """
     def run(batches):
         import pyarrow as pa
 
@@ -84,23 +87,31 @@ def edges(docs: DataFrame, nominated: DataFrame, window: int = WINDOW, anchor: i
                                               strict=True):
                 at, u, v, checks = scanner.edges(text.encode().split(), anchors)
                 n = len(at)
-                made.append((np.full(n, key, dtype=np.int64), np.full(n, th, dtype=np.int32), at.astype(np.int32),
+                made.append((np.full(n, key, dtype=np.int64), (np.int64(th) << 32) | at.astype(np.int64),
                              C.signed(u), C.signed(v), C.signed(np.array(checks, dtype=np.uint64))))
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*made, strict=True)],
-                                                 names=["id", "th", "place", "u", "v", "bytes"])
+                                                 names=["id", "spot", "u", "v", "bytes"])
 
     joined = C.keyed(docs).join(nominated, ["id", "th"])
-    return joined.mapInArrow(run, "id bigint, th int, place int, u bigint, v bigint, bytes bigint")
+    return joined.mapInArrow(run, "id bigint, spot bigint, u bigint, v bigint, bytes bigint")
+
+
+def _th_of(spot: str) -> Column:
+    return F.shiftright(spot, 32).cast("int")
+
+
+def _place_of(spot: str) -> Column:
+    return F.col(spot).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
 
 
 def paths(found: DataFrame) -> DataFrame:
     """(u, bytes, s_id, s_th, s_place, path): the edges of two documents or more, their first source, their path."""
-    repeated = found.groupBy("u", "bytes").agg(F.min(F.struct("id", "th", "place")).alias("s"),
+    repeated = found.groupBy("u", "bytes").agg(F.min(F.struct("id", "spot")).alias("s"),
                                                F.max("id").alias("last"), F.max("v").alias("v"))
     repeated = C.written(repeated.where("s.id < last").select(
-        "u", "v", "bytes", F.col("s.id").alias("s_id"), F.col("s.th").alias("s_th"),
-        F.col("s.place").alias("s_place")), "debruijn-edges")
+        "u", "v", "bytes", F.col("s.id").alias("s_id"), _th_of("s.spot").alias("s_th"),
+        _place_of("s.spot").alias("s_place")), "debruijn-edges")
     ends = repeated.select(F.col("u").alias("node"), F.lit(0).alias("into"), F.lit(1).alias("out")).unionAll(
         repeated.select("v", F.lit(1), F.lit(0)))
     simple = ends.groupBy("node").agg(F.sum("into").alias("into"), F.sum("out").alias("out")).where(
@@ -130,7 +141,7 @@ def spans(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[
     found = C.written(edges(docs, nominated, window, anchor), "debruijn-windows")
 
     later = found.join(paths(found), ["u", "bytes"]).where("id > s_id").select(
-        "id", "th", "place", "path", "s_id", "s_place")
+        "id", _th_of("spot").alias("th"), _place_of("spot").alias("place"), "path", "s_id", "s_place")
     later = later.repartition("id", "th").dropDuplicates(["id", "th", "place"])
     along = Window.partitionBy("id", "th").orderBy("place")
     goes_on = (F.lag("place").over(along) == F.col("place") - 1) & (F.lag("path").over(along) == F.col("path")) & (
