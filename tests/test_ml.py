@@ -98,3 +98,55 @@ def test_linear_regression_recovers_a_line(trips):
     assert model.stages[-1].coefficients.toArray() == pytest.approx([2, 1, 12], abs=1e-6)
     rmse, r2 = M.regression_scores(model.transform(exact))
     assert rmse < 1e-6 and r2 == pytest.approx(1)
+
+
+def test_counted_rows_give_what_single_rows_give(spark, trips):
+    trips = trips.crossJoin(spark.range(3).withColumnRenamed("id", "copy")).where("duration_min > 9 OR copy = 0").cache()
+    few = M.counted(trips, [*M.AT_DROPOFF, "fare_eur"]).cache()
+    assert few.count() == 4000 and few.agg(F.sum(M.ROWS)).first()[0] == trips.count() > 8000
+    for fit in (M.fit_dropoff, M.fit_weighted, lambda t: M.fit_dropoff(t, kind="rf", trees=3)):
+        single, grouped = fit(trips), fit(few)
+        a, b = single.transform(trips), grouped.transform(few)
+        assert M.evaluate(b) == pytest.approx(M.evaluate(a), abs=1e-3)
+        assert M.evaluate(grouped.transform(trips)) == pytest.approx(M.evaluate(b), abs=1e-12)
+        judged = grouped.transform(trips)
+        assert rows(M.confusion(judged)) == rows(M.confusion(b))
+        assert rows(M.precision_recall(judged)) == rows(M.precision_recall(b))
+        assert rows(M.threshold_report(judged, [0.2, 0.5])) == rows(M.threshold_report(b, [0.2, 0.5]))
+        assert M.by_label(judged, "recallByLabel") == pytest.approx(M.by_label(b, "recallByLabel"), abs=1e-12)
+
+
+def test_scale_and_index_count_rows(trips):
+    few = M.counted(trips, ["district_vec", "hour", "duration_min"])
+    assert M._index_of(few).labels == M.district_index().fit(trips).labels
+    vectors = M.assembled(["hour", "duration_min"]).transform(few)
+    spread = M.standardised().fit(M.assembled(["hour", "duration_min"]).transform(trips)).std.toArray()
+    assert (1 / M._scale_of(vectors).getScalingVec().toArray()).tolist() == pytest.approx(spread.tolist())
+
+
+def test_snapped_rows_go_down_the_trees_as_their_own_values(spark):
+    table = spark.range(5000).select((F.col("id") * 37 % 997 / 7.0).alias("x"), (F.col("id") % 20).cast("double").alias("y"))
+    snapped = M._snapped(table.withColumn("x0", F.col("x")), ["x", "y"])
+    assert snapped.select("x").distinct().count() == M.FOREST_BINS and snapped.select("y").distinct().count() == 20
+    values = sorted(r["x"] for r in snapped.select("x").distinct().collect())
+    halves = [(a + b) / 2.0 for a, b in zip(values, values[1:], strict=False)]
+    assert all((r["x0"] <= h) == (r["x"] <= h) for r in snapped.collect() for h in halves)
+
+
+def test_shares_sum_to_the_rows_and_stay_few(spark):
+    table = spark.createDataFrame([("a", 1), ("b", 1000), ("c", 7)], f"k string, {M.ROWS} bigint")
+    whole, few = M._shares(table), M._shares(table, draws=50)
+    assert whole.count() == 1008 and whole.where("share <> 1").count() == 0
+    assert few.count() <= 50 + 3
+    assert {r["k"]: r["s"] for r in few.groupBy("k").agg(F.sum("share").alias("s")).collect()} == pytest.approx(
+        {"a": 1, "b": 1000, "c": 7})
+
+
+def test_fits_read_different_rows_only(spark, trips, monkeypatch):
+    """However often the rows repeat, logistic regression gets each different row once."""
+    seen = []
+    fit = M.LogisticRegression.fit
+    monkeypatch.setattr(M.LogisticRegression, "fit", lambda self, df: seen.append(df.count()) or fit(self, df))
+    for times in (1, 5):
+        M.fit_pickup(trips.crossJoin(spark.range(times).withColumnRenamed("id", "copy")))
+    assert seen[0] == seen[1] < 4000

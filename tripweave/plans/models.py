@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from tripweave.functions import scalars
 from tripweave.operators import ml as M
-from tripweave.operators.relational import count_by, hash_split
+from tripweave.operators.relational import count_by
 from tripweave.plans.flow import FIVE_ENDED, run_folder, trips as trip_stream, waves
 from tripweave.plans.registry import key_hash_ctes, on_tables, query
 from tripweave.session import scratch_path, source_tag
@@ -24,7 +25,13 @@ def labelled(spark, sf_dir):
 
 
 def split(spark, sf_dir):
-    return hash_split(labelled(spark, sf_dir), "trip_id")
+    """(train, test) as counted rows, made once in an application: every model is fitted and judged on these."""
+    path = scratch_path(spark, source_tag(sf_dir), "model_rows")
+    if not files.is_complete(spark, path):
+        rows = labelled(spark, sf_dir).withColumn("in_test", scalars.in_test_side(F.col("trip_id")))
+        M.counted(rows, [*M.AT_DROPOFF, "fare_eur", "in_test"]).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    return rows.where("NOT in_test"), rows.where("in_test")
 
 
 def fitted(spark, sf_dir, name, fit):
@@ -42,7 +49,9 @@ MODELS = {
 
 
 def judged(spark, sf_dir, name):
-    return fitted(spark, sf_dir, name, MODELS[name]).transform(split(spark, sf_dir)[1])
+    test = split(spark, sf_dir)[1]
+    return fitted(spark, sf_dir, name, MODELS[name]).transform(
+        M.counted(test, M.AT_PICKUP) if name.endswith("pickup") else test)
 
 
 def by_rule(spark, sf_dir):
@@ -219,14 +228,16 @@ def ml_reloaded(spark, sf_dir):
 def ml_leak_probe(spark, sf_dir):
     train, test = split(spark, sf_dir)
     honest = M.area_under_roc(judged(spark, sf_dir, "lr_pickup"))
-    leaking = M.area_under_roc(M.fit_pickup(train, extra=["fare_eur"]).transform(test))
+    leaking = M.area_under_roc(M.fit_pickup(train, extra=["fare_eur"]).transform(
+        M.counted(test, [*M.AT_PICKUP, "fare_eur"])))
     return files.local_table(spark, [("pickup", honest), ("pickup with fare", leaking)], "features string, auc double")
 
 
 @query("ml_weighted", "L15 L12")
 def ml_weighted(spark, sf_dir):
     train, test = split(spark, sf_dir)
-    sides = {"plain": judged(spark, sf_dir, "lr_pickup"), "weighted": M.fit_weighted(train).transform(test)}
+    sides = {"plain": judged(spark, sf_dir, "lr_pickup"),
+             "weighted": M.fit_weighted(train).transform(M.counted(test, M.AT_PICKUP))}
     rows = [(name, M.by_label(p, "recallByLabel"), M.by_label(p, "precisionByLabel"), M.area_under_roc(p))
             for name, p in sides.items()]
     return files.local_table(spark, rows, "model string, recall double, precision double, auc double")
@@ -273,13 +284,15 @@ def ml_model_checks(spark, sf_dir):
     train, test = split(spark, sf_dir)
     table = M.confusion(judged(spark, sf_dir, "lr_dropoff")).collect()
     honest = M.area_under_roc(judged(spark, sf_dir, "lr_pickup"))
-    leaking = M.area_under_roc(M.fit_pickup(train, extra=["fare_eur"]).transform(test))
+    leaking = M.area_under_roc(M.fit_pickup(train, extra=["fare_eur"]).transform(
+        M.counted(test, [*M.AT_PICKUP, "fare_eur"])))
     plain = M.by_label(judged(spark, sf_dir, "lr_pickup"), "recallByLabel")
-    weighted = M.by_label(M.fit_weighted(train).transform(test), "recallByLabel")
+    weighted = M.by_label(M.fit_weighted(train).transform(M.counted(test, M.AT_PICKUP)), "recallByLabel")
     forest = fitted(spark, sf_dir, "rf_dropoff", MODELS["rf_dropoff"]).stages[-1]
     scores = [M.evaluate(judged(spark, sf_dir, name)) for name in MODELS]
     return files.local_table(spark, [(
-        test.count(), sum(r["predicted_0"] + r["predicted_1"] for r in table), leaking > honest, weighted >= plain,
+        test.agg(F.sum(M.ROWS)).first()[0], sum(r["predicted_0"] + r["predicted_1"] for r in table),
+        leaking > honest, weighted >= plain,
         abs(float(forest.featureImportances.toArray().sum()) - 1) < 1e-9,
         all(0 <= x <= 1 for pair in scores for x in pair))],
         "tested bigint, in_confusion bigint, leak_shows boolean, weights_raise_recall boolean,"
