@@ -7,12 +7,13 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripweave.llm import classifier, debruijn, periods, spellings
+from tripweave.llm import classifier, common, debruijn, periods, spellings
 
 FIELDS = "doc_id bigint, text string"
 ODD = ("doc_id bigint, text string, id string, word string, n string, run string, th int, hash string, label double, "
@@ -262,3 +263,16 @@ def test_spots_hold_text_hash_and_place_in_their_order(spark):
                                  "doc_id bigint, text string")
     found = debruijn.without_repeats(docs).select("id", "n_removed").collect()
     assert sorted(tuple(r) for r in found) == [(1, 0), (2, 55)]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum(p.stat().st_size for d in manager.localDirs() for p in Path(d.getPath()).rglob("shuffle_*_*.data"))
+
+    before, setting = shuffled(), spark.conf.get(common.SHUFFLE_CLEANUP)
+    rows = spark.range(300_000).select(F.xxhash64("id").alias("k"))
+    table = common.written(rows.repartition(4, "k"), "shuffled")
+    assert shuffled() - before < 500_000  # 2.4 MB are shuffled
+    assert table.count() == 300_000 and spark.conf.get(common.SHUFFLE_CLEANUP) == setting

@@ -23,6 +23,8 @@ NO_ID = (1 << 63) - 1
 #: the white space of the word rule `[^\x20\x09-\x0D]+`; bytes.split() knows the same six characters
 SPACE = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = 8_000_000
+#: removes shuffle files at the end of the query that wrote them
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -71,10 +73,18 @@ def rejoin(docs: DataFrame, found: DataFrame, how: str) -> tuple[DataFrame, list
 
 
 def written(df: DataFrame, what: str) -> DataFrame:
-    """`df` as a table in the shared folder: lineage ends here, and every executor can read it."""
+    """`df` as a table in the shared folder: lineage ends here, and every executor can read it.
+
+    What was shuffled for it is read no more and removed from the disks at once, not when the driver collects garbage.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", f"{what}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
