@@ -285,6 +285,28 @@ def test_lattice_equals_the_search_in_a_task(spark):
         assert score == best_score(known, u)
 
 
+def test_units_of_many_texts_settle_a_shared_prefix_once():
+    known, rng = pieces.load(), random.Random(14)
+    stems = [" " + "".join(rng.choices("aeinrst.üα", k=12)) for _ in range(20)]
+    units = {*UNITS, *stems, *(stem + "".join(rng.choices("eéω!x", k=2)) for stem in stems for _ in range(50))}
+    found = pieces.Segments(known)
+    assert dict(found.of(units)) == {u: pieces.packed(known.segment(u)) for u in units}
+    assert found.places == len({u[:k] for u in units for k in range(1, len(u) + 1)}) < sum(map(len, units)) / 3
+
+
+def test_blocks_of_texts_and_an_emptied_memory_change_nothing(monkeypatch):
+    monkeypatch.setattr(lattice, "BLOCK_CHARS", 40)
+    monkeypatch.setattr(lattice, "TASK_UNITS", 10)
+    known, texts = pieces.load(), ["".join(UNITS), None, "", *(text for _, text, *_ in corpus(15, 20))]
+    memory, got, sizes = lattice._Memory(known, {" the": pieces.packed(known.segment(" the"))}), [], []
+    for block in lattice._blocks(texts):
+        memory.learn(block)
+        got += [b"".join(map(memory.__getitem__, units)) for units in block]
+        sizes.append(len(block))
+    assert got == [pieces.packed(i for u in pieces.units_of(t or "") for i in known.segment(u)) for t in texts]
+    assert len(sizes) > 3
+
+
 def test_tokens_agree_with_the_library_under_the_same_scores():
     from tokenizers import Tokenizer, models
 

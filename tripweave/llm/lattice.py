@@ -6,8 +6,9 @@ the edges in order of their end, and a higher-order `aggregate` folds them to th
 
 Texts: the units of all documents are counted, the most frequent ones (a fixed number) are encoded on
 the lattice, and every task gets their ids. Units outside this table, which are new on nearly every
-page of a corpus, are segmented where they stand by the same rule; sending each of them through the
-lattice and back to its documents moves several times the text. Documents are not shuffled.
+page of a corpus, are segmented where they stand by the same rule, those of many texts together, so that
+a prefix they share is settled once; sending each of them through the lattice and back to its documents
+moves several times the text. Documents are not shuffled.
 
 Decoding joins the bytes of the pieces, drops the leading blank and gives back the very text.
 
@@ -17,10 +18,9 @@ are encoded alike; ids outside the vocabulary, and its control pieces, decode to
 
 from __future__ import annotations
 
-from array import array
 from collections import Counter
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from tripweave.llm import pieces as P
 TABLE_UNITS = 65_536
 #: units that a task counts, or remembers, at a time
 TASK_UNITS = 300_000
+#: characters of texts whose new units a task segments together
+BLOCK_CHARS = 2_000_000
 
 
 def piece_table(spark: SparkSession, known: P.Pieces) -> DataFrame:
@@ -118,42 +120,52 @@ def frequent_units(docs: DataFrame, known: P.Pieces, limit: int = TABLE_UNITS) -
 
 
 class _Memory(dict):
-    """Ids by unit: the table, and the units segmented since it was last emptied."""
+    """Packed ids by unit: the table, and the units segmented since it was last emptied."""
 
-    def __init__(self, known: P.Pieces, table: dict[str, tuple[int, ...]]) -> None:
+    def __init__(self, known: P.Pieces, table: dict[str, bytes]) -> None:
         super().__init__(table)
-        self._known, self._table = known, table
+        self._segments, self._table = P.Segments(known), table
 
-    def __missing__(self, unit: str) -> tuple[int, ...]:
-        ids = self[unit] = self._known.segment(unit)
-        return ids
-
-    def bounded(self) -> None:
+    def learn(self, texts: list[list[str]]) -> None:
+        """Segments the units of these texts that are not known yet, all together."""
         if len(self) > len(self._table) + TASK_UNITS:
             self.clear()
             self.update(self._table)
+        self.update(self._segments.of(set(filterfalse(self.__contains__, chain.from_iterable(texts)))))
+
+
+def _blocks(texts: Iterable[str | None]) -> Iterator[list[list[str]]]:
+    """The units of each text, about two megabytes of texts at a time, a single long text aside."""
+    block, room = [], BLOCK_CHARS
+    for text in texts:
+        block.append(P.units_of(text or ""))
+        room -= len(text or "")
+        if room < 0:
+            yield block
+            block, room = [], BLOCK_CHARS
+    yield block
 
 
 def encode(docs: DataFrame, path: str = P.MODEL, limit: int = TABLE_UNITS) -> tuple[DataFrame, str]:
     """`docs` with a column of token ids added, and its name. Only texts pass through Python."""
     known = P.load(path)
-    sent = docs.sparkSession.sparkContext.broadcast((known, frequent_units(docs, known, limit)))
+    table = {unit: P.packed(ids) for unit, ids in frequent_units(docs, known, limit).items()}
+    sent = docs.sparkSession.sparkContext.broadcast((known, table))
     (name,) = C.free_names(docs, "token_ids")
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known, table = sent.value
-        ids_of_unit = _Memory(known, table)
+        ids_of_unit = _Memory(*sent.value)
         for texts in batches:
-            values, ends, nulls = array("i"), [0], []
-            for text in texts.to_pylist():
-                nulls.append(text is None)
-                values.extend(chain.from_iterable(map(ids_of_unit.__getitem__, P.units_of(text or ""))))
-                ends.append(len(values))
-                ids_of_unit.bounded()
+            values, ends = bytearray(), [0]
+            for block in _blocks(texts.to_pylist()):
+                ids_of_unit.learn(block)
+                for units in block:
+                    values += b"".join(map(ids_of_unit.__getitem__, units))
+                    ends.append(len(values) // 4)
             yield pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()),
                                            pa.array(np.frombuffer(values, dtype=np.int32)),
-                                           mask=pa.array(nulls, type=pa.bool_()))
+                                           mask=texts.is_null())
 
     return docs.withColumn(name, ids_of(docs["text"])), name
 

@@ -12,8 +12,11 @@ longer, at every place. A character that no piece covers becomes one token for e
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 MAX_UNIT, MAX_BLANKS = 256, 64
@@ -85,6 +88,55 @@ class Pieces:
         return self.__dict__ | {"_root": None}  # grown again where it is needed
 
 
+class Segments:
+    """Best segmentations of many units, as `Pieces.segment` has them; ids are packed, four bytes each.
+
+    What is best up to a place depends on the characters before it alone. So units are taken in sorted order, and
+    places of the prefix that a unit shares with the one before it are settled already.
+    """
+
+    def __init__(self, known: Pieces) -> None:
+        self._known = known
+        self.places = 0
+        # the pieces by their characters from last to first: (score, packed id, longer ones) of each character
+        self._root: dict[str, list] = {}
+        for piece, score in known.scores.items():
+            node = self._root
+            for char in reversed(piece):
+                step = node.setdefault(char, [_WORST, b"", {}])
+                node = step[2]
+            step[:2] = score, packed((known.ids[piece],))
+
+    def of(self, units: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+        """(unit, packed ids) of distinct units. Of equal scores at a place the longer last piece counts."""
+        known, root, unknown = self._known, self._root, self._known.unknown
+        best, ids, before = [0.0], [b""], ""
+        for unit in sorted(units):
+            n, shared, limit = len(unit), 0, min(len(before), len(unit))
+            while shared < limit and before[shared] == unit[shared]:
+                shared += 1
+            del best[shared + 1:], ids[shared + 1:]
+            for end in range(shared, n):
+                top, node, last = best[end] + unknown, root, None
+                for start in range(end, -1, -1):
+                    step = node.get(unit[start])
+                    if step is None:
+                        break
+                    score, piece, node = step
+                    score += best[start]
+                    if score >= top:
+                        top, at, last = score, start, piece
+                best.append(top)
+                ids.append(ids[end] + packed(known.byte_tokens(unit[end])) if last is None else ids[at] + last)
+            self.places += n - shared
+            before = unit
+            yield unit, ids[n]
+
+
+def packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, dtype=np.int32).tobytes()
+
+
 def load(path: str = MODEL) -> Pieces:
     """Reads a vocabulary file with its library; control and unknown pieces take no part."""
     import sentencepiece
