@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
@@ -77,6 +79,24 @@ def test_file_ceiling_only_reduces(spark, tmp_path):
         assert len(list(path.glob("*.parquet"))) == expected
 
 
+def test_file_ceiling_moves_no_rows_between_tasks(spark, tmp_path):
+    """Writing tasks read a columnar copy and no shuffle; every row arrives and the copy goes."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(0, 20_000, 1, 9).select("id", F.format_string("T%08d", "id").alias("name")).write.parquet(source)
+    stages = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ceiling", "ceiling")
+    try:
+        sinks.write_bounded(spark.read.parquet(source).where("id != 7"), target, max_files=3)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    copied, listed, *_, last = sorted(stages.getJobIdsForGroup("ceiling"))
+    assert all(len(stages.getJobInfo(job).stageIds) == 1 for job in (copied, last))
+    written = spark.read.parquet(target)
+    assert len(written.inputFiles()) == 3
+    assert written.exceptAll(spark.read.parquet(source).where("id != 7")).isEmpty() and written.count() == 19_999
+    assert not list(Path(scratch_path(spark, "bounded").removeprefix("file:")).iterdir())
+
+
 def test_month_filter_prunes_folders(spark, sf_dir):
     stored = spark.read.parquet(T.staged(spark, sf_dir, "months"))
     plan = plan_of(stored.where(F.col("month") == "1997-03").select("trip_id"))

@@ -8,7 +8,7 @@ from tripweave.functions import scalars
 from tripweave.operators import cleaning, relational as R
 from tripweave.operators.skew import previous_value
 from tripweave.plans.registry import haversine_sql, key_hash_ctes, on_tables, query
-from tripweave.session import cut_lineage, scratch_path, source_tag
+from tripweave.session import cut_lineage, scratch_path, source_tag, split_size
 from tripweave.sources import contracts as C
 from tripweave.sources import files, sinks, tables as T
 
@@ -124,7 +124,9 @@ def parquet_read(spark, sf_dir):
 @query("parquet_file_ceiling", "B1 B9", on_tables("SELECT true AS within_ceiling, count(*) AS row_count FROM clean"))
 def parquet_file_ceiling(spark, sf_dir):
     path = target(spark, sf_dir, "ceiling")
-    sinks.write_bounded(T.clean_trips(spark, sf_dir).repartition(8), path, max_files=4)
+    # in the order of their ids the trips take less space; splits are small, as whole rows are sorted
+    with split_size(spark, 4 * T.SPLIT_BYTES):
+        sinks.write_bounded(T.clean_trips(spark, sf_dir).sortWithinPartitions("trip_id"), path, max_files=4)
     per_file = spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
     return per_file.agg((F.count("*") <= 4).alias("within_ceiling"), F.sum("n").alias("row_count"))
 
